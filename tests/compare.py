@@ -81,7 +81,7 @@ def main(sf: str, chosen: list[str]) -> int:
     import __spark_entry__ as e
     from tidebook.session import build_session
 
-    spark = build_session("compare", "local[8]", 8, **{"spark.ui.enabled": "false"})
+    spark = build_session("compare", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     queries, oracle = e.queries(), e.oracle_sql()
     failed = 0

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-#: Load and build times differ from run to run and are left out of compared results.
-CLOCK_COLUMNS = ("dbt_loaded_at", "dbt_updated_at", "dbt_built_at")
+#: Load and build times differ from run to run, and ``ordinal`` only orders rows for an
+#: upsert: neither is part of a compared result.
+LEFT_OUT = ("dbt_loaded_at", "dbt_updated_at", "dbt_built_at", "ordinal")
 
 
 class Tables:
@@ -28,13 +29,13 @@ class Tables:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Results as both engines print them: decimals as doubles, no clock columns."""
+    """Results as both engines print them: decimals as doubles, without clock or order columns."""
     return df.select([
         F.col(f.name).cast("double").alias(f.name)
         if isinstance(f.dataType, T.DecimalType)
         else F.col(f.name)
         for f in df.schema.fields
-        if f.name not in CLOCK_COLUMNS
+        if f.name not in LEFT_OUT
     ])
 
 
