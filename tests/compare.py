@@ -67,7 +67,7 @@ def differences(spark, name, query, sql, sf: str) -> list[str]:
         return [f"{name}: columns {names} != {other_names}"]
     ours, theirs = sorted(ours, key=repr), sorted(theirs, key=repr)
     if ours == theirs:
-        return []
+        return [] if ours else [f"{name}: both sides are empty"]
     out = [f"{name}: rows {len(ours)} vs {len(theirs)}; columns {names}"]
     only_ours = set(ours) - set(theirs)
     only_theirs = set(theirs) - set(ours)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules whose import registers their queries.
-MODULES = ("positions", "maintenance", "eventlog")
+MODULES = ("positions", "maintenance", "eventlog", "documents")
 
 
 def load():
