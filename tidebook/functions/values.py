@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = " \t\r\n\f\x0b"
@@ -109,3 +109,12 @@ def typed(c: Column, kind: str) -> Column:
     if kind.startswith("varchar"):
         return cut(c.cast("string"), int(kind[len("varchar(") : -1]))
     return c.cast(kind)
+
+
+def once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column whose expression runs once per row, however often it is used.
+
+    A parsed document that is only projected would be copied into every filter on its fields
+    and parsed again there; the output of a generator is not.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

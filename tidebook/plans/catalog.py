@@ -19,7 +19,7 @@ def api_bundle(
         "api_endpoints": specs.spec_endpoints(spec_corpus, rules),
         "api_fields": specs.spec_fields(spec_corpus, rules),
         "api_endpoint_errors": specs.spec_errors(spec_corpus, rules),
-        "api_flows": collections.flows(requests, rules),
+        "api_flows": collections.flows(collection_corpus, requests, rules),
         "api_flow_steps": collections.flow_steps(steps),
         "api_dependencies": collections.flow_dependencies(steps),
     }

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import text as x
 from ..functions.projects import ProjectRules
-from ..functions.values import cut, first_filled
+from ..functions.values import cut, first_filled, once
 from ..operators.sequences import latest_before
 
 NAME_LENGTH, ENDPOINT_LENGTH, DESCRIPTION_LENGTH = 256, 520, 2000
@@ -17,68 +17,81 @@ STEP_CHUNK = 1024
 MALFORMED = "_malformed"
 
 
-def _children(item: Column) -> Column:
-    """Entries of a folder; NULL for anything else."""
-    return F.from_json(F.get_json_object(item, "$.item"), "array<string>")
-
-
 def _parsed(corpus: DataFrame) -> DataFrame:
     doc = F.from_json(
         "content", f"{schemas.COLLECTION_DOC}, {MALFORMED} string",
         {"columnNameOfCorruptRecord": MALFORMED},
     )
-    return corpus.select("path", F.col("content").isNull().alias("unreadable"), doc.alias("doc"))
+    return once(corpus.select("path", "content"), doc, "doc").withColumn(
+        "bad", F.col("content").isNull() | F.col(f"doc.{MALFORMED}").isNotNull()
+    )
 
 
 def collection_rejects(corpus: DataFrame) -> DataFrame:
-    bad = F.col("unreadable") | F.col(f"doc.{MALFORMED}").isNotNull()
-    return _parsed(corpus).where(bad).select("path")
+    """Collections that cannot be read; they add no rows to any relation."""
+    return _parsed(corpus).where("bad").select("path")
 
 
-def flatten_folders(collections: DataFrame, column: str, max_rounds: int = 100) -> DataFrame:
-    """Replace every folder in an array of items by its entries, at any depth, in place.
+def _documents(corpus: DataFrame) -> DataFrame:
+    info = F.col("doc.info")
+    return _parsed(corpus).where(~F.col("bad")).select(
+        "path",
+        cut(F.coalesce(info.getField("name"), x.file_stem(F.col("path"))), NAME_LENGTH)
+        .alias("flow_key"),
+        cut(F.coalesce(info.description, F.lit("")), DESCRIPTION_LENGTH).alias("description"),
+        F.col("doc.item").alias("items"),
+    )
 
-    Each round opens one level in all documents at once, and the loop ends when no document
-    has a folder left, so the number of rounds is the deepest nesting. Depth-first order is
-    the array's own order.
-    """
-    no_items = F.array().cast("array<string>")
-    for _ in range(max_rounds):
-        nested = F.exists(column, lambda item: _children(item).isNotNull())
-        if collections.where(nested).isEmpty():
-            return collections
-        opened = F.flatten(F.transform(
-            column,
-            lambda item: F.coalesce(_children(item), F.array(item), no_items),
-        ))
-        collections = collections.withColumn(column, opened)
-    raise ValueError(f"folders are nested deeper than {max_rounds} levels")
+
+def _entries(nodes: DataFrame, entry: Column) -> DataFrame:
+    """Parse entries and keep the folders and requests among them."""
+    parsed = once(nodes.select("path", "flow_key", "at", entry.alias("_entry")),
+                  F.col("_entry"), "entry")
+    wanted = F.col("entry.item").isNotNull() | F.col("entry.request").isNotNull()
+    return parsed.where(wanted).select("path", "flow_key", "at", "entry")
 
 
 def flow_requests(corpus: DataFrame) -> DataFrame:
-    """One row per readable collection with its requests, as JSON text, in calling order."""
-    good = _parsed(corpus).where(
-        ~F.col("unreadable") & F.col(f"doc.{MALFORMED}").isNull()
-    ).select(
-        "path",
-        cut(F.coalesce("doc.info.name", x.file_stem(F.col("path"))), NAME_LENGTH)
-        .alias("flow_key"),
-        cut(F.coalesce("doc.info.description", F.lit("")), DESCRIPTION_LENGTH)
-        .alias("description"),
-        F.coalesce("doc.item", F.array().cast("array<string>")).alias("requests"),
+    """Requests of the readable collections, numbered depth first across nested folders.
+
+    Each round opens one level of folders in all documents at once; the loop ends when no
+    document has a folder left, so it takes as many rounds as the deepest nesting. A request
+    is ordered by its positions along the way, and only requests of one document are sorted
+    together.
+    """
+    parse = F.from_json("text", schemas.COLLECTION_ITEM)
+    top = _documents(corpus).select(
+        "path", "flow_key", F.posexplode("items").alias("position", "text")
+    )
+    nodes = _entries(top.withColumn("at", F.array("position")), parse)
+    folder = F.col("entry.item").isNotNull()
+    while not nodes.where(folder).isEmpty():
+        # Requests pass through a round as they are; an empty folder leaves nothing behind.
+        opened = nodes.select(
+            "*", F.posexplode_outer("entry.item").alias("position", "text")
+        ).where(~folder | F.col("text").isNotNull())
+        deeper = F.when(folder, F.concat("at", F.array("position"))).otherwise(F.col("at"))
+        nodes = _entries(
+            opened.withColumn("at", deeper), F.when(folder, parse).otherwise(F.col("entry"))
+        )
+    in_order = Window.partitionBy("path").orderBy("at")
+    return nodes.select(
+        "path", "flow_key", F.row_number().over(in_order).cast("bigint").alias("step_order"),
+        F.col("entry").alias("item"),
     )
-    flat = flatten_folders(good, "requests")
-    is_request = lambda item: F.get_json_object(item, "$.request").isNotNull()
-    return flat.withColumn("requests", F.filter("requests", is_request))
 
 
-def flows(requests: DataFrame, rules: ProjectRules = ProjectRules()) -> DataFrame:
-    return requests.select(
+def flows(
+    corpus: DataFrame, requests: DataFrame, rules: ProjectRules = ProjectRules()
+) -> DataFrame:
+    """One row per readable collection, also those without requests."""
+    counts = requests.groupBy("path").agg(F.count(F.lit(1)).alias("step_count"))
+    return _documents(corpus).drop("items").join(counts, "path", "left").select(
         "flow_key",
         F.col("flow_key").alias("flow_name"),
         rules.for_path(F.col("path")).alias("project_id"),
         "description",
-        F.size("requests").alias("step_count"),
+        F.coalesce("step_count", F.lit(0)).alias("step_count"),
         F.struct(x.path_parts(F.col("path"))).alias("ordinal"),
     )
 
@@ -96,12 +109,6 @@ def _script(lines: Column) -> Column:
 
 def request_steps(requests: DataFrame) -> DataFrame:
     """One row per request with everything later stages need, not yet cut to catalog widths."""
-    item = requests.select(
-        "path", "flow_key", F.posexplode("requests").alias("at", "request")
-    ).select(
-        "path", "flow_key", (F.col("at") + 1).cast("bigint").alias("step_order"),
-        F.from_json("request", schemas.COLLECTION_ITEM).alias("item"),
-    )
     saved = F.filter(
         F.transform(
             "item.event",
@@ -111,7 +118,7 @@ def request_steps(requests: DataFrame) -> DataFrame:
     )
     address = _address(F.col("item.request.url"))
     method = F.coalesce("item.request.method", F.lit("GET"))
-    return item.select(
+    return requests.select(
         "path", "flow_key", "step_order",
         F.col("item.name").alias("name"),
         address.alias("address"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text as x
 from ..functions.projects import ProjectRules
-from ..functions.values import first_filled, first_filled_map
+from ..functions.values import first_filled, first_filled_map, once
 
 PLATFORM = "dbt"
 
@@ -27,7 +27,8 @@ def models(manifests: DataFrame) -> DataFrame:
     nodes = manifests.select(
         "doc_id",
         F.explode(F.from_json("content", schemas.MANIFEST_DOC).nodes).alias("uid", "text"),
-    ).select("doc_id", "uid", F.from_json("text", schemas.MANIFEST_NODE).alias("node"))
+    )
+    nodes = once(nodes, F.from_json("text", schemas.MANIFEST_NODE), "node")
     schema = F.coalesce(first_filled(F.col("node.schema")), F.lit(PLATFORM))
     return nodes.where(F.col("node.resource_type") == "model").select(
         "doc_id", "uid", "node",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text as x
 from ..functions.projects import ProjectRules
-from ..functions.values import cut, first_filled, truthy, yes_no
+from ..functions.values import cut, first_filled, once, truthy, yes_no
 
 MALFORMED = "_malformed"
 REQUEST_EXAMPLE_LENGTH = 512
@@ -24,9 +24,9 @@ def _parsed(corpus: DataFrame, rules: ProjectRules) -> DataFrame:
         {"columnNameOfCorruptRecord": MALFORMED},
     )
     path = F.col("path")
-    return corpus.select(
+    return once(corpus.select("path", "content"), doc, "doc").select(
         "path",
-        doc.alias("doc"),
+        "doc",
         F.col("content").isNull().alias("unreadable"),
         F.replace(x.file_stem(path), F.lit("swagger-spec-"), F.lit("")).alias("source_id"),
         x.parent_folder(path).alias("feature_group"),

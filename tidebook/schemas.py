@@ -73,34 +73,53 @@ def text_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in FEED_COLUMNS[table]])
 
 
+def _type(kind: str) -> T.DataType:
+    """Type of a contract entry. Needs no session, unlike parsing a schema string."""
+    if kind.startswith("decimal("):
+        precision, scale = kind[len("decimal("):-1].split(",")
+        return T.DecimalType(int(precision), int(scale))
+    simple = {"date": T.DateType(), "timestamp": T.TimestampType(), "bigint": T.LongType(),
+              "double": T.DoubleType()}
+    return simple.get(kind, T.StringType())
+
+
+def _struct(contract: dict[str, str]) -> T.StructType:
+    return T.StructType([T.StructField(c, _type(kind)) for c, kind in contract.items()])
+
+
 def landing_schema(table: str) -> T.StructType:
     """Typed schema of a landing table; flags stay text until staging."""
-    kinds = {"string": "string", "flag": "string"}
-    fields = []
-    for name, kind in LANDING_TABLES[table].items():
-        kind = "string" if kind.startswith("varchar") else kinds.get(kind, kind)
-        fields.append(f"{name} {kind}")
-    return T.StructType.fromDDL(", ".join(fields))
+    return _struct(LANDING_TABLES[table])
 
 
 # ---------------------------------------------------------------------------------------
 # Run statistics
 # ---------------------------------------------------------------------------------------
 
-RUN_STATS_DDL = """
-    run_id string, run_started_at timestamp, model_name string, materialization string,
-    dbt_threads bigint, parallel_degree bigint, elapsed_seconds decimal(18,3),
-    cpu_seconds decimal(18,3), pga_peak_bytes bigint, uga_peak_bytes bigint,
-    physical_reads_bytes bigint, logical_reads bigint, redo_size_bytes bigint,
-    rows_processed bigint, status string
-"""
-RUN_STATS = T.StructType.fromDDL(RUN_STATS_DDL)
+RUN_STATS_COLUMNS = {
+    "run_id": "string",
+    "run_started_at": "timestamp",
+    "model_name": "string",
+    "materialization": "string",
+    "dbt_threads": "bigint",
+    "parallel_degree": "bigint",
+    "elapsed_seconds": "decimal(18,3)",
+    "cpu_seconds": "decimal(18,3)",
+    "pga_peak_bytes": "bigint",
+    "uga_peak_bytes": "bigint",
+    "physical_reads_bytes": "bigint",
+    "logical_reads": "bigint",
+    "redo_size_bytes": "bigint",
+    "rows_processed": "bigint",
+    "status": "string",
+}
+RUN_STATS = _struct(RUN_STATS_COLUMNS)
 
 #: A run file is a stats row plus what the pod measured.
-RUN_FILE = T.StructType.fromDDL(
-    RUN_STATS_DDL + ", pod_size string, pod_peak_cpu_cores double, pod_peak_mem_mib double"
-)
-POD_METRICS = T.StructType.fromDDL("peak_cpu_cores double, peak_mem_mib double")
+RUN_FILE = _struct(RUN_STATS_COLUMNS | {
+    "pod_size": "string", "pod_peak_cpu_cores": "double", "pod_peak_mem_mib": "double",
+})
+POD_METRICS = _struct({"peak_cpu_cores": "double", "peak_mem_mib": "double"})
 
 #: Session counter name -> run statistics column.
 COUNTER_COLUMNS = {

@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.values import once
 
 MALFORMED = "_malformed_record"
-#: A comma that is not inside double quotes.
+#: A comma that is not inside double quotes. Looks ahead at every comma: for short lines.
 CSV_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+QUOTED = r'"[^"]*"'
 #: Width of the text columns a feed lands in when its typed column is a number or a date.
 NUMBER_WIDTH, DATE_WIDTH, KEY_WIDTH, FLAG_WIDTH = 20, 10, 60, 5
 
@@ -91,7 +92,8 @@ def _text_ddl(table: str) -> str:
 def _reject_reason(table: str) -> Column:
     """Why a record is rejected, NULL for a good one. Too few fields is no reason."""
     fields = schemas.FEED_COLUMNS[table]
-    too_many = F.size(F.split(MALFORMED, CSV_COMMA)) > len(fields)
+    commas = F.regexp_count(F.regexp_replace(MALFORMED, QUOTED, ""), F.lit(","))
+    too_many = commas >= len(fields)
     too_wide = F.lit(False)
     for c in fields:
         too_wide = too_wide | F.coalesce(F.length(c) > _width(table, c), F.lit(False))
@@ -132,5 +134,5 @@ def read_external(spark: SparkSession, path: str, table: str) -> tuple[DataFrame
 def parse_lines(lines: DataFrame, column: str, table: str) -> tuple[DataFrame, DataFrame]:
     """The same rules for CSV records that already are rows of text."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
-    parsed = F.from_csv(column, _text_ddl(table), options)
-    return split_rejects(lines.select(parsed.alias("r")).select("r.*"), table)
+    parsed = once(lines, F.from_csv(column, _text_ddl(table), options), "_record")
+    return split_rejects(parsed.select("_record.*"), table)

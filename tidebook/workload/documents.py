@@ -145,7 +145,8 @@ SELECT 'order-' || o_orderkey AS flow_key, 'order-' || o_orderkey AS flow_name,
        'internal' AS project_id, o_orderpriority AS description, 3 AS step_count
 FROM orders""")
 def collection_flows(t):
-    return collections.flows(collections.flow_requests(corpora.collection_documents(t)), RULES)
+    corpus = corpora.collection_documents(t)
+    return collections.flows(corpus, collections.flow_requests(corpus), RULES)
 
 
 @query("collection_steps", """
