@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import file_name
 
@@ -24,7 +25,7 @@ def _yaml_to_json(text: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def yaml_to_json(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """YAML has no reader in Spark; only YAML files are sent here, the rest is NULL."""
     for batch in texts:

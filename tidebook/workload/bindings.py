@@ -2,111 +2,95 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import padded_id
 from ..operators.enrichment import enrich_positions
 from ..operators.staging import stage_accounts, stage_positions, stage_securities
 
-CENTS = "decimal(20,2)"
-
-
-def _choose(c: Column, mapping: dict[str, str]) -> Column:
-    result = None
-    for key, value in mapping.items():
-        result = F.when(c == key, value) if result is None else result.when(c == key, value)
-    return result
-
-
-def account_id(custkey: Column) -> Column:
-    return padded_id("ACCT", custkey, 7)
-
-
-def security_id(partkey: Column) -> Column:
-    return padded_id("SEC", partkey, 8)
-
-
 def positions_raw(t) -> DataFrame:
-    """One position per order line."""
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = t.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    market_value = F.col("l_extendedprice").cast(CENTS)
-    base = lines.select(
+    """One position per order line.
+
+    Orders grow as the lines do, so this join is always a shuffle join; adaptive execution
+    splits the lines of an order that has very many.
+    """
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").hint("merge")
+    lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    amounts = lines.selectExpr(
+        "*",
+        "cast(l_extendedprice AS decimal(20,2)) AS market_value",
+        "cast(l_quantity AS decimal(18,4)) AS quantity",
+    ).selectExpr(
+        "*",
+        "cast(round(market_value * (1 - cast(l_discount AS decimal(4,2))), 2)"
+        " AS decimal(20,2)) AS cost_basis",
+        "cast(quantity AS decimal(10,0)) AS units",
+    )
+    return amounts.select(
         F.col("o_orderdate").cast("date").alias("as_of_date"),
-        account_id(F.col("o_custkey")).alias("account_id"),
-        security_id(F.col("l_partkey")).alias("security_id"),
-        F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
-        market_value.alias("market_value"),
-        F.round(market_value * (1 - F.col("l_discount").cast("decimal(4,2)")), 2)
-        .cast(CENTS).alias("cost_basis"),
-        F.when(
-            F.col("l_linenumber") % 7 != 0,
-            F.round(market_value * F.col("l_tax").cast("decimal(4,2)"), 2).cast(CENTS),
-        ).alias("accrued_income"),
-        (1 + F.col("l_tax")).cast("decimal(10,6)").alias("fx_rate"),
-        _choose(F.col("l_returnflag"), {"N": "SETTLED", "A": "PENDING", "R": "FAILED"})
-        .alias("settlement_status"),
-        _choose(F.col("l_linestatus"), {"F": "ADVANTAGE", "O": "STAR"}).alias("source_system"),
+        padded_id("ACCT", F.col("o_custkey"), 7).alias("account_id"),
+        padded_id("SEC", F.col("l_partkey"), 8).alias("security_id"),
+        "quantity", "market_value", "cost_basis",
+        F.expr("cast(market_value - cost_basis AS decimal(20,2)) AS unrealized_gl"),
+        F.expr("cast(cost_basis / units AS decimal(18,6)) AS unit_cost"),
+        F.expr("cast(market_value / units AS decimal(18,6)) AS unit_price"),
+        F.expr("""CASE WHEN l_linenumber % 7 <> 0 THEN cast(
+                  round(market_value * cast(l_tax AS decimal(4,2)), 2) AS decimal(20,2)) END
+                  AS accrued_income"""),
+        F.expr("cast(1 + l_tax AS decimal(10,6)) AS fx_rate"),
+        F.expr("""CASE l_returnflag WHEN 'N' THEN 'SETTLED' WHEN 'A' THEN 'PENDING'
+                  WHEN 'R' THEN 'FAILED' END AS settlement_status"""),
+        F.expr("""CASE l_linestatus WHEN 'F' THEN 'ADVANTAGE' WHEN 'O' THEN 'STAR' END
+                  AS source_system"""),
+    ).withColumn(
+        "position_hash",
+        F.expr("concat_ws('|', cast(as_of_date AS string), account_id, security_id)"),
     )
-    per_unit = F.col("quantity").cast("decimal(10,0)")
-    return base.withColumns({
-        "position_hash": F.concat_ws(
-            "|", F.col("as_of_date").cast("string"), "account_id", "security_id"
-        ),
-        "unrealized_gl": (F.col("market_value") - F.col("cost_basis")).cast(CENTS),
-        "unit_cost": (F.col("cost_basis") / per_unit).cast("decimal(18,6)"),
-        "unit_price": (F.col("market_value") / per_unit).cast("decimal(18,6)"),
-    })
 
 
 def securities_raw(t) -> DataFrame:
     """One security per part."""
-    asset_class = _choose(F.col("p_type"), {
-        "STANDARD": "EQUITY", "ECONOMY": "FIXED_INCOME", "MEDIUM": "CASH",
-        "PROMO": "ALTERNATIVE", "SMALL": "DERIVATIVE", "LARGE": "DERIVATIVE",
-    })
-    key = F.col("p_partkey")
     return t.part.select(
-        security_id(key).alias("security_id"),
-        F.concat(F.lit("C"), F.lpad((key % 100000000).cast("string"), 8, "0")).alias("cusip"),
-        F.concat(F.lit("US"), F.lpad(key.cast("string"), 10, "0")).alias("isin"),
-        F.upper(F.substring("p_name", 1, 4)).alias("ticker"),
+        padded_id("SEC", F.col("p_partkey"), 8).alias("security_id"),
+        F.expr("concat('C', lpad(cast(p_partkey % 100000000 AS string), 8, '0')) AS cusip"),
+        F.expr("concat('US', lpad(cast(p_partkey AS string), 10, '0')) AS isin"),
+        F.expr("upper(substring(p_name, 1, 4)) AS ticker"),
         F.col("p_name").alias("security_name"),
-        asset_class.alias("asset_class"),
+        F.expr("""CASE p_type WHEN 'STANDARD' THEN 'EQUITY' WHEN 'ECONOMY' THEN 'FIXED_INCOME'
+                  WHEN 'MEDIUM' THEN 'CASH' WHEN 'PROMO' THEN 'ALTERNATIVE'
+                  WHEN 'SMALL' THEN 'DERIVATIVE' WHEN 'LARGE' THEN 'DERIVATIVE' END
+                  AS asset_class"""),
         F.col("p_brand").alias("sub_asset_class"),
-        F.element_at(F.array(*map(F.lit, ("USD", "EUR", "GBP"))), (key % 3 + 1).cast("int"))
-        .alias("currency"),
-        F.element_at(F.array(*map(F.lit, ("US", "GB"))), (key % 2 + 1).cast("int"))
-        .alias("country"),
-        F.when(asset_class == "EQUITY", "NYSE").alias("exchange"),
-        F.date_add(F.lit("1990-01-01").cast("date"), F.col("p_size")).alias("issue_date"),
-        F.when(
-            asset_class == "FIXED_INCOME",
-            F.date_add(F.lit("1995-01-01").cast("date"), (key % 2500).cast("int")),
-        ).alias("maturity_date"),
-        F.when(F.col("p_size") < 45, "True").otherwise("False").alias("is_active"),
+        F.expr("CASE p_partkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END"
+               " AS currency"),
+        F.expr("CASE p_partkey % 2 WHEN 0 THEN 'US' ELSE 'GB' END AS country"),
+        F.expr("CASE WHEN p_type = 'STANDARD' THEN 'NYSE' END AS exchange"),
+        F.expr("date_add(DATE '1990-01-01', p_size) AS issue_date"),
+        F.expr("""CASE WHEN p_type = 'ECONOMY' THEN
+                  date_add(DATE '1995-01-01', cast(p_partkey % 2500 AS int)) END
+                  AS maturity_date"""),
+        F.expr("CASE WHEN p_size < 45 THEN 'True' ELSE 'False' END AS is_active"),
     )
 
 
 def accounts_raw(t) -> DataFrame:
     """One account per customer, with the nation as domicile."""
     nation = t.nation.select("n_nationkey", "n_name")
-    key, balance = F.col("c_custkey"), F.col("c_acctbal")
     return t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        account_id(key).alias("account_id"),
+        padded_id("ACCT", F.col("c_custkey"), 7).alias("account_id"),
         F.col("c_name").alias("account_name"),
-        padded_id("CLT", F.floor(key / 10), 6).alias("client_id"),
+        padded_id("CLT", F.floor(F.col("c_custkey") / 10), 6).alias("client_id"),
         F.col("c_mktsegment").alias("account_type"),
-        F.element_at(F.array(*map(F.lit, ("USD", "EUR", "GBP"))), (key % 3 + 1).cast("int"))
-        .alias("base_currency"),
+        F.expr("CASE c_custkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END"
+               " AS base_currency"),
         F.col("n_name").alias("domicile_country"),
-        F.date_add(F.lit("2010-01-01").cast("date"), (key % 5000).cast("int"))
-        .alias("inception_date"),
-        padded_id("PM", key % 200, 4).alias("portfolio_manager"),
-        F.when(key % 10 < 7, "y").otherwise("no").alias("is_discretionary"),
-        F.when(balance < 0, "SMALL").when(balance < 3000, "MID").when(balance < 7000, "LARGE")
-        .otherwise("UHNW").alias("aum_tier"),
+        F.expr("date_add(DATE '2010-01-01', cast(c_custkey % 5000 AS int)) AS inception_date"),
+        F.expr("concat('PM', lpad(cast(c_custkey % 200 AS string), 4, '0'))"
+               " AS portfolio_manager"),
+        F.expr("CASE WHEN c_custkey % 10 < 7 THEN 'y' ELSE 'no' END AS is_discretionary"),
+        F.expr("""CASE WHEN c_acctbal < 0 THEN 'SMALL' WHEN c_acctbal < 3000 THEN 'MID'
+                  WHEN c_acctbal < 7000 THEN 'LARGE' ELSE 'UHNW' END AS aum_tier"""),
     )
 
 
@@ -128,27 +112,22 @@ def enriched_positions(t) -> DataFrame:
 
 def run_stats(t) -> DataFrame:
     """Run statistics: one row per user and event type, the user being the run."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = "cast(get_json_object(props, '$.k') AS bigint)"
     return t.events.groupBy("user_id", "event_type").agg(
-        F.sum(F.col("value").cast("decimal(20,2)")).alias("elapsed"),
-        F.sum(k).alias("k_sum"),
-        F.max(k).alias("k_max"),
-        F.count(F.lit(1)).alias("n"),
-    ).select(
-        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
-        F.col("event_type").alias("model_name"),
-        F.when(F.col("n") % 2 == 0, "table").otherwise("view").alias("materialization"),
-        F.element_at(
-            F.array(*map(F.lit, ("small", "medium", "large", "xlarge"))),
-            (F.col("user_id") % 4 + 1).cast("int"),
-        ).alias("pod_size"),
-        F.when(F.col("user_id") % 11 != 0, F.col("user_id") % 3 + 2).alias("dbt_threads"),
-        (F.col("user_id") % 2 * 4 + 4).alias("parallel_degree"),
-        F.when(F.col("n") % 5 != 0, F.col("elapsed").cast("decimal(18,3)"))
-        .alias("elapsed_seconds"),
-        (F.col("k_sum") / 100).cast("decimal(18,3)").alias("cpu_seconds"),
-        (F.col("k_max") * 1048576 + F.col("n")).alias("pga_peak_bytes"),
-        (F.col("k_sum") * 4096).alias("physical_reads_bytes"),
-        F.when(F.col("n") % 3 != 0, F.col("k_sum")).alias("logical_reads"),
-        (F.col("n") * 100000).alias("rows_processed"),
+        F.expr("sum(cast(value AS decimal(20,2))) AS elapsed"),
+        F.expr(f"sum({k}) AS k_sum"), F.expr(f"max({k}) AS k_max"), F.expr("count(*) AS n"),
+    ).selectExpr(
+        "concat('run-', cast(user_id AS string)) AS run_id",
+        "event_type AS model_name",
+        "CASE WHEN n % 2 = 0 THEN 'table' ELSE 'view' END AS materialization",
+        """CASE user_id % 4 WHEN 0 THEN 'small' WHEN 1 THEN 'medium' WHEN 2 THEN 'large'
+           ELSE 'xlarge' END AS pod_size""",
+        "CASE WHEN user_id % 11 <> 0 THEN user_id % 3 + 2 END AS dbt_threads",
+        "user_id % 2 * 4 + 4 AS parallel_degree",
+        "CASE WHEN n % 5 <> 0 THEN cast(elapsed AS decimal(18,3)) END AS elapsed_seconds",
+        "cast(cast(k_sum AS decimal(18,0)) / 100 AS decimal(18,3)) AS cpu_seconds",
+        "k_max * 1048576 + n AS pga_peak_bytes",
+        "k_sum * 4096 AS physical_reads_bytes",
+        "CASE WHEN n % 3 <> 0 THEN k_sum END AS logical_reads",
+        "n * 100000 AS rows_processed",
     )
