@@ -29,18 +29,16 @@ def test_number_within(spark, rows, width):
 @pytest.mark.parametrize("width", [1, 5, 1000])
 def test_latest_before(spark, rows, width):
     rng = random.Random(100 + width)
-    steps = [(k, rng.choice("ab"), at, rng.random() < 0.3, f"e{at}")
+    steps = [(k, rng.choice("ab"), at, f"e{at}" if rng.random() < 0.3 else None)
              for at, k in enumerate(keys(rng, 300))]
-    # Uses and setters may share a position: a use never sees its own step.
-    uses = [(k, v, at, e) for k, v, at, sets, e in steps if not sets or at % 2]
-    setters = [(k, v, at, e) for k, v, at, sets, e in steps if sets]
-    found = latest_before(
-        spark.createDataFrame(uses, "k int, v string, at int, use string"),
-        spark.createDataFrame(setters, "k int, v string, at int, endpoint string"),
-        ["k", "v"], "at", "endpoint", F.floor(F.col("at") / width),
-    )
+    # Some steps both use and set: a use never sees its own step.
+    steps += [(k, v, at, None) for k, v, at, e in steps if e and at % 2]
+    df = spark.createDataFrame(steps, "k int, v string, at int, endpoint string")
+    found = latest_before(df, ["k", "v"], "at", "endpoint", F.floor(F.col("at") / width))
     expected = []
-    for k, v, at, e in uses:
-        earlier = [s for s in setters if s[:2] == (k, v) and s[2] < at]
-        expected.append((k, v, at, e, max(earlier, key=lambda s: s[2])[3] if earlier else None))
+    for k, v, at, e in steps:
+        if e is None:
+            earlier = [s for s in steps if s[:2] == (k, v) and s[2] < at and s[3]]
+            latest = max(earlier, key=lambda s: s[2])[3] if earlier else None
+            expected.append((k, v, at, latest))
     assert rows(found) == sorted(expected, key=repr)

@@ -67,7 +67,7 @@ def test_medallion_build_is_incremental(spark, tmp_path, rows):
     assert found.where("elapsed_seconds IS NULL OR rows_processed IS NULL").isEmpty()
 
     checks = medallion.declared_checks(spark, layout)
-    assert len(checks) == 24
+    assert len(checks) == 25
     assert [name for name, bad in checks.items() if not bad.isEmpty()] == []
 
 

@@ -67,7 +67,7 @@ def nested_flows(flows: DataFrame, steps: DataFrame, page_size: int = STEPS_PER_
     )
     no_steps = F.array().cast("array<struct<step_order:bigint,label:string,endpoint:string,"
                               "variable_passed:string>>")
-    return flows.join(pages, "flow_key", "left").withColumns({
+    return flows.join(pages.hint("merge"), "flow_key", "left").withColumns({
         "page": F.coalesce("page", F.lit(0).cast("bigint")),
         "steps": F.coalesce("steps", no_steps),
     })

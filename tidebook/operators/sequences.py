@@ -2,7 +2,12 @@
 
 A plain window sorts a group in a single task, which fails for a group that holds a large
 share of all rows. Both operators cut a group into chunks along its order, work inside the
-chunks, and carry one summary row per chunk across.
+chunks, and carry one summary row per chunk across. The chunk must be small enough for one
+task in the largest group; summaries of one group meet in a task, so it should not be smaller
+than needed.
+
+Summaries have the same keys as the rows and may be nearly as many, so they are never
+broadcast: the hint keeps the join on the partitioning the rows already have.
 """
 
 from __future__ import annotations
@@ -32,52 +37,42 @@ def number_within(
         .select(*keys, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
     )
     return (
-        numbered.join(offsets, [*keys, "_chunk"])
+        numbered.join(offsets.hint("merge"), [*keys, "_chunk"])
         .withColumn(name, F.col("_base") + F.col("_local"))
         .drop("_chunk", "_local", "_base")
     )
 
 
 def latest_before(
-    uses: DataFrame,
-    setters: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: str,
-    chunk: Column,
+    rows: DataFrame, keys: Sequence[str], order: str, value: str, chunk: Column
 ) -> DataFrame:
-    """``uses`` with the ``value`` of the latest setter strictly before each, by key.
+    """Rows without a ``value``, each with the latest value strictly before it in its group.
 
-    ``chunk`` is an expression over ``order`` that does not decrease along it. Uses without an
-    earlier setter get NULL.
+    Rows with a value only set it and are not returned; a row without an earlier value keeps
+    NULL. ``chunk`` is an expression over ``order`` that does not decrease along it.
     """
-    passthrough = [c for c in uses.columns if c not in {*keys, order}]
-    both = (
-        uses.select(*keys, order, F.struct(*passthrough).alias("_use"))
-        .unionByName(
-            setters.select(*keys, order, F.col(value).alias("_set")), allowMissingColumns=True
-        )
-        .withColumn("_chunk", chunk)
-    )
-    # Setters sort after uses at the same position: strictly earlier ones only.
+    chunked = rows.withColumn("_chunk", chunk)
+    # At one position the rows that set come last: strictly earlier values only.
     inside = (
         Window.partitionBy(*keys, "_chunk")
-        .orderBy(order, F.col("_set").isNotNull())
+        .orderBy(order, F.col(value).isNotNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    within = both.withColumn("_seen", F.last("_set", ignorenulls=True).over(inside)).where(
-        F.col("_use").isNotNull()
+    within = chunked.withColumn("_seen", F.last(value, ignorenulls=True).over(inside)).where(
+        F.col(value).isNull()
     )
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = (
-        both.groupBy(*keys, "_chunk")
-        .agg(F.max_by("_set", F.when(F.col("_set").isNotNull(), F.col(order))).alias("_last"))
+        chunked.groupBy(*keys, "_chunk")
+        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
         .select(
             *keys, "_chunk", F.last("_last", ignorenulls=True).over(before).alias("_carried")
         )
     )
-    return within.join(carried, [*keys, "_chunk"]).select(
-        *keys, order, "_use.*", F.coalesce("_seen", "_carried").alias(value)
+    return (
+        within.join(carried.hint("merge"), [*keys, "_chunk"])
+        .withColumn(value, F.coalesce("_seen", "_carried"))
+        .select(*rows.columns)
     )

@@ -86,7 +86,8 @@ def flows(
 ) -> DataFrame:
     """One row per readable collection, also those without requests."""
     counts = requests.groupBy("path").agg(F.count(F.lit(1)).alias("step_count"))
-    return _documents(corpus).drop("items").join(counts, "path", "left").select(
+    counted = _documents(corpus).drop("items").join(counts.hint("merge"), "path", "left")
+    return counted.select(
         "flow_key",
         F.col("flow_key").alias("flow_name"),
         rules.for_path(F.col("path")).alias("project_id"),
@@ -148,17 +149,24 @@ def resolve_uses(
 
     ``chunk`` cuts long flows (see ``latest_before``); the default suits numbered steps.
     """
-    uses = steps.select(
-        flow, order, F.col("endpoint_key").alias("from_endpoint"),
-        F.explode(x.template_variables(F.col("address"))).alias("variable"),
+    nothing = F.lit(None).cast("string")
+
+    def event(variable: Column, user: Column, setter: Column) -> Column:
+        return F.struct(variable.alias("variable"), user.alias("from_endpoint"),
+                        setter.alias("to_endpoint"))
+
+    endpoint, saved = F.col("endpoint_key"), F.col("saved_variable")
+    uses = F.transform(
+        F.coalesce(x.template_variables(F.col("address")), F.array().cast("array<string>")),
+        lambda variable: event(variable, endpoint, nothing),
     )
-    setters = steps.where(F.col("saved_variable").isNotNull()).select(
-        flow, order, F.col("saved_variable").alias("variable"),
-        F.col("endpoint_key").alias("to_endpoint"),
+    sets = F.filter(F.array(event(saved, nothing, endpoint)), lambda e: e.variable.isNotNull())
+    events = steps.select(flow, order, F.explode(F.concat(uses, sets)).alias("event")).select(
+        flow, order, "event.*"
     )
     if chunk is None:
         chunk = F.floor(F.col(order) / STEP_CHUNK)
-    return latest_before(uses, setters, [flow, "variable"], order, "to_endpoint", chunk)
+    return latest_before(events, [flow, "variable"], order, "to_endpoint", chunk)
 
 
 def flow_dependencies(

@@ -2,7 +2,8 @@
 
 A manifest corpus has ``doc_id`` and ``content``; identifiers are resolved inside one manifest,
 by joins on ``(doc_id, unique id)``. Those keys are unique on the resolving side, so a manifest
-with very many models spreads over all tasks.
+with very many models spreads over all tasks. Both sides come out of the same documents and are
+larger than their files, whose size is all the optimizer knows: the hints rule out a broadcast.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def columns(manifests: DataFrame, catalogs: DataFrame) -> DataFrame:
         "doc_id",
         F.explode(F.from_json("content", schemas.CATALOG_DOC).nodes).alias("uid", "entry"),
     )
-    listed = described.join(cataloged, ["doc_id", "uid"]).select(
+    listed = described.join(cataloged.hint("merge"), ["doc_id", "uid"]).select(
         "schema_name", "name", "described",
         F.posexplode(F.map_entries("entry.columns")).alias("at", "column"),
     )
@@ -114,8 +115,8 @@ def resolve_edges(dependencies: DataFrame, keys: DataFrame) -> DataFrame:
     upstream = keys.select("doc_id", F.col("uid").alias("depends_on"),
                            F.col("key").alias("from_key"))
     downstream = keys.select("doc_id", "uid", F.col("key").alias("to_key"))
-    return dependencies.join(upstream, ["doc_id", "depends_on"]).join(
-        downstream, ["doc_id", "uid"]
+    return dependencies.join(upstream.hint("merge"), ["doc_id", "depends_on"]).join(
+        downstream.hint("merge"), ["doc_id", "uid"]
     )
 
 

@@ -20,7 +20,7 @@ FROM events""")
 def step_numbers(t):
     events = t.events.select("event_id", "user_id", "ts")
     return number_within(
-        events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), "step_order"
+        events, ["user_id"], ["ts", "event_id"], F.date_trunc("minute", "ts"), "step_order"
     ).drop("ts")
 
 
@@ -54,15 +54,10 @@ def _steps(t):
 SELECT event_id, user_id, variable, endpoint, to_endpoint FROM resolved
 WHERE event_type = 'purchase'"""))
 def asof_latest_setter(t):
-    steps = _steps(t)
-    uses = steps.where(~F.col("sets")).select("user_id", "variable", "at", "event_id", "endpoint")
-    setters = steps.where("sets").select(
-        "user_id", "variable", "at", F.col("endpoint").alias("to_endpoint")
-    )
-    found = latest_before(
-        uses, setters, ["user_id", "variable"], "at", "to_endpoint", F.to_date("at.ts")
-    )
-    return found.drop("at")
+    steps = _steps(t).withColumn("to_endpoint", F.when(F.col("sets"), F.col("endpoint")))
+    return latest_before(
+        steps, ["user_id", "variable"], "at", "to_endpoint", F.date_trunc("minute", "at.ts")
+    ).drop("at", "sets")
 
 
 @query("flow_dependencies", q.with_tables(_STEPS_SQL, select="""
@@ -81,7 +76,7 @@ def event_flow_dependencies(t):
         F.when(~sets, use).alias("address"),
         F.when(sets, name).alias("saved_variable"),
     )
-    return flow_dependencies(steps, "user_id", "at", F.to_date("at.ts"))
+    return flow_dependencies(steps, "user_id", "at", F.date_trunc("minute", "at.ts"))
 
 
 _EDGES_SQL = """
