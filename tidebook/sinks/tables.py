@@ -77,13 +77,16 @@ def upsert_partitions(
     source: DataFrame,
     path: str,
     keys: Sequence[str],
-    order_by: Sequence[Column],
+    order_by: Sequence[Column] | None,
     partition: str = PARTITION_COLUMN,
     protect: Sequence[str] = (),
     touched: DataFrame | None = None,
 ) -> int:
     """Upsert into a partitioned table, rewriting only the partitions the source touches.
 
+    Of several source rows with one key the first under ``order_by`` is taken; None says that
+    the source has one row per key already.
+
     The key must fix the partition, as a key that contains the date does. The first run writes
     everything. Columns new in the source are appended; in partitions that are not touched
     they read as NULL. Replacing partitions is one job commit, and running it again with the
@@ -91,7 +94,7 @@ def upsert_partitions(
     the source's partition values.
     """
     target = read_if_present(source.sparkSession, path)
-    rows = dedupe_latest(source, keys, order_by)
+    rows = source if order_by is None else dedupe_latest(source, keys, order_by)
     if target is not None:
         # The values of the partition column are few (days) and become a literal filter, so
         # files of other partitions are not even listed for the scan.
@@ -120,12 +123,15 @@ def incremental_build(
 ) -> int:
     """Build ``model`` over the positions the target has not settled yet, then upsert it.
 
-    The first run takes everything; later runs only days within the look-back.
+    The first run takes everything; later runs only days within the look-back. The model adds
+    columns to positions and must not multiply them: copies of a position are removed before
+    it, while the rows are narrow.
     """
     target = read_if_present(positions.sparkSession, path)
     fresh = positions if target is None else lookback_filter(positions, target, partition)
+    unique = dedupe_latest(fresh, keys, order_by)
     return upsert_partitions(
-        model(fresh), path, keys, order_by, partition, touched=fresh.select(partition)
+        model(unique), path, keys, None, partition, touched=fresh.select(partition)
     )
 
 
