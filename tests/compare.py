@@ -59,9 +59,9 @@ def duck_rows(sf: str, sql: str):
     return sorted(names), [tuple(plain(r[i]) for i in order) for r in result.fetchall()]
 
 
-def differences(spark, name, query, sql, sf: str) -> list[str]:
+def differences(name, df, sql, sf: str) -> list[str]:
     """What differs, as text; empty when names and all values agree."""
-    names, ours = spark_rows(query(spark, f"{DATA}/{sf}"))
+    names, ours = spark_rows(df)
     other_names, theirs = duck_rows(sf, sql)
     if names != other_names:
         return [f"{name}: columns {names} != {other_names}"]
@@ -89,7 +89,7 @@ def main(sf: str, chosen: list[str]) -> int:
         start = time.time()
         try:
             if name in oracle:
-                problems = differences(spark, name, queries[name], oracle[name], sf)
+                problems = differences(name, queries[name](spark, f"{DATA}/{sf}"), oracle[name], sf)
             else:
                 print(f"rows only {queries[name](spark, f'{DATA}/{sf}').count():>8}", end=" ")
                 problems = []

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

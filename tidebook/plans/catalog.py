@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.projects import ProjectRules
+from ..session import checkpointed
 from . import collections, interfaces, manifests, specs
 
 
@@ -12,7 +13,7 @@ def api_bundle(
     spec_corpus: DataFrame, collection_corpus: DataFrame, rules: ProjectRules = ProjectRules()
 ) -> dict[str, DataFrame]:
     """Relations of specifications and collections. Files later in the walk win."""
-    requests = collections.flow_requests(collection_corpus)
+    requests = checkpointed(collections.flow_requests(collection_corpus))
     steps = collections.request_steps(requests)
     return {
         "api_sources": specs.spec_sources(spec_corpus, rules),

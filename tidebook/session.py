@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes one shuffle partition should hold; AQE merges smaller ones.
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
@@ -43,6 +43,16 @@ def build_session(
     return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for checkpoints, if it names one."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows written once to the shared folder the cluster names for checkpoints.
+
+    Used where several relations come from one expensive parse. A session that names no folder
+    gets ``df`` back and parses again for each relation.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
