@@ -87,7 +87,7 @@ UNION ALL
 SELECT doc_id || ':POST /docs/' || doc_id, '500', 'HTTP_500', 1, 'no ' || source,
        'no ' || source FROM documents
 UNION ALL
-SELECT doc_id || ':' || method || ' /docs/' || doc_id, '400', 'ERR-' || length(line), i + 1,
+SELECT doc_id || ':' || method || ' /docs/' || doc_id, '400', 'ERR-' || length(line), CAST(i + 1 AS INTEGER),
        'Line ' || i, lang
 FROM lines CROSS JOIN (SELECT unnest(['GET', 'POST']) AS method)"""))
 def spec_errors(t):
@@ -107,7 +107,7 @@ def spec_rejects(t):
 
 
 @query("markdown_rows", q.with_tables(_LINES_SQL, select="""
-SELECT doc_id, i AS row_number, 'E' || length(line) AS error_code,
+SELECT doc_id, CAST(i AS INTEGER) AS row_number, 'E' || length(line) AS error_code,
        lang AS business_exception, source AS error_details FROM lines"""))
 def markdown_rows(t):
     """Error tables with one row per line of every text."""
@@ -142,7 +142,8 @@ def list_by_project(t):
 
 @query("collection_flows", """
 SELECT 'order-' || o_orderkey AS flow_key, 'order-' || o_orderkey AS flow_name,
-       'internal' AS project_id, o_orderpriority AS description, 3 AS step_count
+       'internal' AS project_id, o_orderpriority AS description,
+       CAST(3 AS BIGINT) AS step_count
 FROM orders""")
 def collection_flows(t):
     corpus = corpora.collection_documents(t)
@@ -150,7 +151,8 @@ def collection_flows(t):
 
 
 @query("collection_steps", """
-SELECT 'order-' || o_orderkey AS flow_key, 1 AS step_order, 'login' AS label,
+SELECT 'order-' || o_orderkey AS flow_key, CAST(1 AS BIGINT) AS step_order,
+       'login' AS label,
        'POST https://api/login/' || o_custkey AS endpoint_key, 'token' AS variable_passed
 FROM orders
 UNION ALL
@@ -326,7 +328,7 @@ def interface_rows(t):
 
 
 @query("routing_hops", """
-SELECT interface_id, hop_order, system_name, 'internal' AS project_id FROM (
+SELECT interface_id, CAST(hop_order AS INTEGER) AS hop_order, system_name, 'internal' AS project_id FROM (
   SELECT p_partkey AS interface_id, unnest(string_split(p_name, ' ')) AS system_name,
          generate_subscripts(string_split(p_name, ' '), 1) - 1 AS hop_order FROM part)""")
 def routing_hops(t):
