@@ -173,6 +173,33 @@ def test_flows_and_steps(collection_corpus, rows):
     assert len(rows(collections.collection_rejects(collection_corpus))) == 1
 
 
+def test_files_of_the_shorter_convention_win(spark, tmp_path):
+    from tidebook.operators.merging import dedupe_latest
+
+    corpus = documents.read_collection_corpus(spark, write(tmp_path, {
+        "z.postman_collection.json": {"info": {"name": "f", "description": "long"}},
+        "a.postman.json": {"info": {"name": "f", "description": "short"}},
+    }))
+    flows = collections.flows(corpus, collections.flow_requests(corpus))
+    latest = dedupe_latest(flows, ["flow_key"], [flows.ordinal.desc()])
+    assert latest.first().description == "short"
+
+
+def test_nested_flows_are_paged(spark, rows):
+    from tidebook.operators.catalog_views import nested_flows
+
+    steps = spark.createDataFrame(
+        [("long", i, f"s{i}", f"e{i}", None) for i in range(7, 0, -1)] + [("one", 1, "s", "e", "v")],
+        "flow_key string, step_order long, label string, endpoint_key string, "
+        "variable_passed string",
+    )
+    flows = spark.createDataFrame([("long",), ("one",), ("none",)], "flow_key string")
+    nested = nested_flows(flows, steps, page_size=3)
+    found = {(r.flow_key, r.page): [s.step_order for s in r.steps] for r in nested.collect()}
+    assert found == {("long", 0): [1, 2, 3], ("long", 1): [4, 5, 6], ("long", 2): [7],
+                     ("one", 0): [1], ("none", 0): []}
+
+
 def test_dependencies_take_the_latest_setter_and_no_other(collection_corpus, rows):
     steps = collections.request_steps(collections.flow_requests(collection_corpus))
     # The second "self" step finds itself as the latest setter: no edge, no fall-back.

@@ -88,6 +88,41 @@ def test_once_keeps_a_parse_out_of_filters(spark):
     assert plan.count("from_json") == 1 and kept.count() == 1
 
 
+def test_hot_security_is_split(spark):
+    """A third of all positions in one security: its join partition is read by several tasks."""
+    from tidebook.operators.enrichment import enrich_positions
+    from tidebook.operators.staging import stage_accounts, stage_positions, stage_securities
+    from tidebook.plans import synthetic
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    n = 30_000
+    positions = synthetic.positions(synthetic.ids(spark, n, 8), 400, 50).withColumn(
+        "security_id",
+        F.when(F.xxhash64("position_hash") % 3 == 0, "SEC00000001").otherwise(F.col("security_id")),
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        enriched = enrich_positions(
+            stage_positions(positions),
+            stage_securities(synthetic.securities(synthetic.ids(spark, 400))),
+            stage_accounts(synthetic.accounts(synthetic.ids(spark, 50))),
+        )
+        assert len(enriched.collect()) == n
+        assert "skew=true" in plan_of(enriched)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_checkpoint_uses_the_folder_the_session_names(spark):
     from pathlib import Path
 

@@ -67,7 +67,9 @@ def nested_flows(flows: DataFrame, steps: DataFrame, page_size: int = STEPS_PER_
     )
     no_steps = F.array().cast("array<struct<step_order:bigint,label:string,endpoint:string,"
                               "variable_passed:string>>")
-    return flows.join(pages.hint("merge"), "flow_key", "left").withColumns({
-        "page": F.coalesce("page", F.lit(0).cast("bigint")),
-        "steps": F.coalesce("steps", no_steps),
-    })
+    # An inner join, so that adaptive execution may split the pages of a very long flow; flows
+    # without steps are added from the keys alone.
+    with_steps = flows.join(pages.hint("merge"), "flow_key")
+    without = flows.join(steps.select("flow_key").distinct(), "flow_key", "left_anti")
+    empty = without.withColumns({"page": F.lit(0).cast("bigint"), "steps": no_steps})
+    return with_steps.unionByName(empty)

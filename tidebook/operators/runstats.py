@@ -38,8 +38,13 @@ def pivot_counters(
 def session_counters(
     counters: DataFrame, counter_names: DataFrame, by: Sequence[str] = ("sid",)
 ) -> DataFrame:
-    """Counters joined to their names and pivoted; CPU comes in hundredths of a second."""
-    named = counters.join(counter_names, "statistic_id")
+    """Counters joined to their names and pivoted; CPU comes in hundredths of a second.
+
+    There are few counter ids, each with a large share of the rows: they are combined per
+    session before the join.
+    """
+    largest = counters.groupBy(*by, "statistic_id").agg(F.max("value").alias("value"))
+    named = largest.join(counter_names, "statistic_id")
     return pivot_counters(named, by).withColumn(
         "cpu_seconds", (F.col("cpu_seconds") / 100).cast("decimal(18,3)")
     )

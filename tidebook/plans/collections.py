@@ -81,6 +81,12 @@ def flow_requests(corpus: DataFrame) -> DataFrame:
     )
 
 
+def _walk_order() -> Column:
+    """Files of the shorter naming convention come after all others, then by path."""
+    path = F.col("path")
+    return F.struct(path.endswith(".postman.json"), x.path_parts(path)).alias("ordinal")
+
+
 def flows(
     corpus: DataFrame, requests: DataFrame, rules: ProjectRules = ProjectRules()
 ) -> DataFrame:
@@ -93,7 +99,7 @@ def flows(
         rules.for_path(F.col("path")).alias("project_id"),
         "description",
         F.coalesce("step_count", F.lit(0)).alias("step_count"),
-        F.struct(x.path_parts(F.col("path"))).alias("ordinal"),
+        _walk_order(),
     )
 
 
@@ -138,7 +144,7 @@ def flow_steps(steps: DataFrame) -> DataFrame:
         cut(first_filled(F.col("name"), numbered), NAME_LENGTH).alias("label"),
         "endpoint_key",
         cut(F.col("saved_variable"), NAME_LENGTH).alias("variable_passed"),
-        F.struct(x.path_parts(F.col("path"))).alias("ordinal"),
+        _walk_order(),
     )
 
 

@@ -80,9 +80,9 @@ def _ordinal(*position: str) -> Column:
     return F.struct(x.path_parts(F.col("path")), *position).alias("ordinal")
 
 
-def _operations(corpus: DataFrame, rules: ProjectRules) -> DataFrame:
+def _operations(specs: DataFrame, *kept: str) -> DataFrame:
     """One row per path and method, the operation parsed only for known methods."""
-    paths = _specs(corpus, rules).select(
+    paths = specs.select(
         "*", F.posexplode(F.map_entries("doc.paths")).alias("path_position", "path_item")
     )
     methods = paths.select(
@@ -92,7 +92,7 @@ def _operations(corpus: DataFrame, rules: ProjectRules) -> DataFrame:
     method = F.upper("method_item.key")
     address = F.col("path_item.key")
     return methods.select(
-        "path", "source_id", "project_id", "feature_group", "version", "server_url",
+        "path", "source_id", "project_id", "feature_group", "version", "server_url", *kept,
         F.col("doc.info.description").alias("spec_description"),
         method.alias("method"),
         address.alias("address"),
@@ -104,7 +104,7 @@ def _operations(corpus: DataFrame, rules: ProjectRules) -> DataFrame:
 
 def spec_endpoints(corpus: DataFrame, rules: ProjectRules = ProjectRules()) -> DataFrame:
     """One row per path and method."""
-    return _operations(corpus, rules).select(
+    return _operations(_specs(corpus, rules)).select(
         "endpoint_key",
         "source_id",
         "method",
@@ -187,7 +187,7 @@ def spec_fields(corpus: DataFrame, rules: ProjectRules = ProjectRules()) -> Data
     """Request body fields, then parameters, in document order."""
     fields = F.concat(_none_if_null(_body_fields()), _none_if_null(_parameter_fields()))
     return (
-        _operations(corpus, rules)
+        _operations(_specs(corpus, rules))
         .select("path", "position", "endpoint_key", F.posexplode(fields).alias("field_position",
                                                                               "field"))
         .select(
@@ -203,6 +203,15 @@ _ERROR = (
 )
 
 
+def _table_errors(text: Column) -> Column:
+    """Rows of the error tables in a description, reported as bad requests."""
+    return F.transform(x.markdown_errors(F.coalesce(text, F.lit(""))), lambda e: F.struct(
+        F.lit("400").alias("http_status"), e.error_code.alias("error_code"),
+        e.business_exception.alias("business_exception"),
+        e.error_details.alias("error_details"),
+    ))
+
+
 def spec_errors(corpus: DataFrame, rules: ProjectRules = ProjectRules()) -> DataFrame:
     """Error responses, then rows of error tables in the descriptions, numbered per endpoint."""
     responses = F.transform(
@@ -214,18 +223,16 @@ def spec_errors(corpus: DataFrame, rules: ProjectRules = ProjectRules()) -> Data
             e.value.description.alias("error_details"),
         ),
     )
-    text = F.concat_ws(
-        "\n", F.coalesce("op.description", F.lit("")),
-        F.coalesce("spec_description", F.lit("")),
+    # The specification's own table belongs to every endpoint; it is read once per document.
+    specs = once(
+        _specs(corpus, rules), _table_errors(F.col("doc.info.description")), "shared_errors"
     )
-    table_rows = F.transform(x.markdown_errors(text), lambda e: F.struct(
-        F.lit("400").alias("http_status"), e.error_code.alias("error_code"),
-        e.business_exception.alias("business_exception"),
-        e.error_details.alias("error_details"),
-    ))
-    errors = F.concat(_none_if_null(responses, _ERROR), table_rows)
+    operations = once(
+        _operations(specs, "shared_errors"), _table_errors(F.col("op.description")), "own_errors"
+    )
+    errors = F.concat(_none_if_null(responses, _ERROR), "own_errors", "shared_errors")
     return (
-        _operations(corpus, rules)
+        operations
         .select("path", "position", "endpoint_key", F.posexplode(errors).alias("at", "error"))
         .select(
             "endpoint_key", "error.http_status", "error.error_code",

@@ -62,10 +62,13 @@ def spec_corpus(files: DataFrame) -> DataFrame:
 
 
 def collection_corpus(files: DataFrame) -> DataFrame:
-    """Request collections by either naming convention; names starting with ``_`` are helpers."""
+    """Request collections by either naming convention; names starting with ``_`` are helpers.
+
+    One predicate over the file list takes every file once.
+    """
     name = file_name(F.col("path"))
     wanted = name.endswith(".postman_collection.json") | name.endswith(".postman.json")
-    return files.where(wanted & ~name.startswith("_")).dropDuplicates(["path"])
+    return files.where(wanted & ~name.startswith("_"))
 
 
 def read_spec_corpus(spark: SparkSession, root: str) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import text as x
 from ..functions.projects import ProjectRules
 from ..operators import catalog_views
 from ..plans import collections, interfaces, manifests, specs, synthetic
-from ..sources.scheduler import dump_relation
+from ..sources.scheduler import dump_relation, task_instances
 from ..sources.tables import parse_lines, typed_feed
 from . import bindings as b
 from . import corpora
@@ -253,6 +253,15 @@ def airflow_dag_tag(t):
     return dump_relation(corpora.scheduler_dumps(t), "dag_tag")
 
 
+@query("airflow_task_instance", """
+SELECT 'dag_' || o_orderkey AS dag_id, 'load' AS task_id, 'success' AS state,
+       strftime(o_orderdate, '%Y-%m-%d') || ' 01:02:03' AS start_date FROM orders
+UNION ALL SELECT 'dag_' || o_orderkey, 'wait', NULL, NULL FROM orders""")
+def airflow_task_instance(t):
+    tasks = task_instances(corpora.scheduler_dumps(t))
+    return tasks.select("dag_id", "task_id", "state", F.col("start_date").cast("string"))
+
+
 @query("top_recent_tasks", """
 SELECT 'dag_' || o_orderkey AS dag_id, 'load' AS task_id, 'success' AS state,
        strftime(o_orderdate, '%Y-%m-%d') || ' 01:02:03' AS start_date,

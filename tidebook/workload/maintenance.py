@@ -111,9 +111,9 @@ feed AS (
          CAST(o_totalprice AS DOUBLE) AS total
   FROM orders),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY account_id, status
+  SELECT *, row_number() OVER (PARTITION BY account_id, status = 'O'
                                ORDER BY as_of_date DESC, order_id DESC) AS rank_ FROM feed),
-stored AS (SELECT * EXCLUDE (rank_) FROM ranked WHERE status = 'F' AND rank_ = 1),
+stored AS (SELECT * EXCLUDE (rank_) FROM ranked WHERE status <> 'O' AND rank_ = 1),
 arrived AS (SELECT * EXCLUDE (rank_) FROM ranked WHERE status = 'O' AND rank_ = 1)"""
 
 
@@ -146,9 +146,9 @@ def dedupe_latest(t):
 SELECT * FROM stored WHERE account_id NOT IN (SELECT account_id FROM arrived)
 UNION ALL SELECT * FROM arrived"""))
 def upsert_merge(t):
-    """Filled orders on record, open ones arriving: whole rows are replaced."""
+    """Closed and pending orders on record, open ones arriving: whole rows are replaced."""
     feed = order_feed(t)
-    stored = merging.dedupe_latest(feed.where("status = 'F'"), ["account_id"], newest())
+    stored = merging.dedupe_latest(feed.where("status <> 'O'"), ["account_id"], newest())
     return merging.upsert(stored, feed.where("status = 'O'"), ["account_id"], newest())
 
 
@@ -161,7 +161,7 @@ FROM stored s FULL JOIN arrived a ON s.account_id = a.account_id"""))
 def upsert_protected(t):
     """The priority is kept once stored, the note is the target's own, the total is new."""
     feed = order_feed(t)
-    stored = merging.dedupe_latest(feed.where("status = 'F'"), ["account_id"], newest()).select(
+    stored = merging.dedupe_latest(feed.where("status <> 'O'"), ["account_id"], newest()).select(
         "account_id", "order_id", "priority", F.col("status").alias("note")
     )
     arrived = merging.dedupe_latest(feed.where("status = 'O'"), ["account_id"], newest()).select(
