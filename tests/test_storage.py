@@ -245,7 +245,7 @@ def test_run_files(spark, tmp_path, rows):
     assert found.where("run_id = 'r2'").first().other_columns == {"note": "hi"}
 
 
-def test_run_artifact_and_pod_metrics(spark, tmp_path, rows):
+def test_run_artifact_and_pod_metrics(spark, tmp_path, rows, caplog):
     pods = tmp_path / "pods"
     assert runs.read_pod_metrics(spark, str(pods)).count() == 0
     pods.mkdir()
@@ -259,7 +259,9 @@ def test_run_artifact_and_pod_metrics(spark, tmp_path, rows):
     back = runs.read_run_files(spark, f"{tmp_path}/out")
     assert rows(back, "model_name", "pod_size", "pod_peak_cpu_cores", "pod_peak_mem_mib") == [
         ("m1", "small", 1.5, 100.0), ("m2", "small", None, None)]
+    assert not caplog.records
     assert tables.write_run_file(stats.limit(0), metrics, "s", f"{tmp_path}/empty/r") == 0
+    assert "no statistics" in caplog.text
     stats.createOrReplaceTempView("all_stats")
     assert runs.run_by_parameter(spark, "all_stats", "r1").count() == 2
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,8 @@ from .. import schemas
 from ..operators.merging import dedupe_latest, lookback_filter, merge_rows
 from ..operators.quality import check_not_null, check_unique, require
 
+log = logging.getLogger(__name__)
+
 PARTITION_COLUMN = "as_of_date"
 SAMPLE_ROWS = 1000
 
@@ -175,6 +178,8 @@ def write_run_file(stats: DataFrame, pods: DataFrame, pod_size: str, path: str)
     ordered = rows.select(*schemas.RUN_FILE.names).orderBy("run_started_at")
     written, seen = counted(ordered.coalesce(1))
     written.write.mode("overwrite").csv(path, header=True)
+    if not seen.get["rows"]:
+        log.warning("%s: no statistics matched the run", path)
     return seen.get["rows"]
 
 
