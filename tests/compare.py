@@ -89,7 +89,8 @@ def main(sf: str, chosen: list[str]) -> int:
         start = time.time()
         try:
             if name in oracle:
-                problems = differences(name, queries[name](spark, f"{DATA}/{sf}"), oracle[name], sf)
+                df = queries[name](spark, f"{DATA}/{sf}")
+                problems = differences(name, df, oracle[name], sf)
             else:
                 print(f"rows only {queries[name](spark, f'{DATA}/{sf}').count():>8}", end=" ")
                 problems = []

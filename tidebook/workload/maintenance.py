@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import merging, quality
+from ..operators.enrichment import enrich_positions
 from ..schemas import ASSET_CLASSES
 from . import bindings as b
 from . import sql as q
@@ -103,6 +104,32 @@ def incremental_lookback(t):
     )
 
 
+@query("silver_incremental", q.with_tables(*q.STAR, select="""
+SELECT position_hash, as_of_date, CAST(max(market_value) AS DOUBLE) AS market_value,
+       count(DISTINCT asset_class) AS asset_classes
+FROM enriched GROUP BY position_hash, as_of_date"""))
+def silver_incremental(t):
+    """The silver table after loading up to mid 1997 and then everything since the look-back."""
+    securities, accounts = b.staged_securities(t), b.staged_accounts(t)
+    highest = [F.col("market_value").desc()]
+
+    def silver(positions):
+        unique = merging.dedupe_latest(positions, ["position_hash"], highest)
+        return enrich_positions(unique, securities, accounts)
+
+    positions = b.staged_positions(t)
+    first = positions.where(F.col("as_of_date") < "1997-07-01")
+    fresh = merging.lookback_filter(positions, first, "as_of_date")
+    merged = merging.merge_rows(
+        silver(first), silver(fresh), ["as_of_date", "position_hash"]
+    )
+    return merged.select(
+        "position_hash", "as_of_date", "market_value",
+        F.when(F.col("asset_class").isNull(), 0).otherwise(1).cast("bigint")
+        .alias("asset_classes"),
+    )
+
+
 # One row per order of a customer; the status tells the two feeds of the upserts apart.
 _ORDERS_SQL = """
 feed AS (
