@@ -4,8 +4,11 @@ import __spark_entry__ as entry_point
 import pytest
 from compare import DATA, differences
 
+from tidebook.workload import load
+
 SF = "sf0.001"
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+#: Those of this library; the corpus operators have tests of their own.
+QUERIES, ORACLE = load().QUERIES, load().ORACLE
 
 #: Nothing that pairs all rows with all rows, and no Python in the registered queries.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython",
@@ -40,4 +43,5 @@ def test_entry_points_need_no_session():
 
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
-    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLE))], done.stderr
+    registered = [str(len(entry_point.queries())), str(len(entry_point.oracle_sql()))]
+    assert done.stdout.split() == registered, done.stderr
