@@ -90,9 +90,9 @@ def _select(spark: SparkSession, vectors: DataFrame, query_ids: np.ndarray, quer
             largest: float, k: int) -> DataFrame:
     """The top k of one block of queries, from ranges known to hold all scores."""
     bound = np.ceil(np.abs(queries).sum(axis=1) * largest).astype(np.float64)
-    top = np.minimum(bound, 2.0**54).astype(np.int64)
+    top = np.minimum(bound, 2.0**61).astype(np.int64)
     low, width = -top, np.ones(len(queries), dtype=np.int64)
-    while (wide := width * BUCKETS <= 2 * top).any():
+    while (wide := width * float(BUCKETS) <= 2.0 * top).any():
         width[wide] *= BUCKETS  # powers of BUCKETS: a bucket is the next pass's range exactly
     kth = np.full(len(queries), np.iinfo(np.int64).min)
     need = np.full(len(queries), k)
@@ -133,7 +133,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     the whole-number inner product, and ties go to the smaller ``vec_id``. Vectors that are null,
     empty, of another length than the queries, or hold null or non-finite components take no
     part, nor do rows without an id. Rows that repeat an id are candidates of their own; of
-    repeated query ids each distinct vector is a query. Other columns are ignored; without
+    repeated query ids each distinct vector is a query. Scores must fit in 62 bits. Other columns are ignored; without
     queries or candidates there are no rows.
     """
     spark = vectors.sparkSession
