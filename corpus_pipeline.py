@@ -1,3 +1,11 @@
 """A training corpus from ``documents``."""
 
-from tidebook.llm import near_copies, packing, repeated_lines, token_counts, topk  # noqa: F401
+from tidebook.llm import (  # noqa: F401
+    language,
+    near_copies,
+    packing,
+    repeated_lines,
+    token_counts,
+    topk,
+    toxicity,
+)

@@ -6,7 +6,7 @@ known by a 64-bit hash, so a column of texts becomes a few integer arrays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -67,7 +67,7 @@ class Words:
     word_at: np.ndarray  #: index of each text's first word, and the number of words
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(column: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """The texts of a column (null: empty) in pieces: first, last, bytes, offsets."""
     column = pc.fill_null(column, "").cast(pa.large_string())
     n = len(column)
@@ -78,23 +78,28 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        last = int(np.searchsorted(at, at[first] + PIECE_BYTES, side="right")) - 1
+        last = int(np.searchsorted(at, at[first] + piece_bytes, side="right")) - 1
         last = min(max(last, first + 1), n)
         yield first, last, data[at[first]:at[last]], at[first:last + 1] - at[first]
         first = last
 
 
-def words(column: pa.Array, breaks: str = "") -> Iterator[Words]:
+def words(
+    column: pa.Array, breaks: str = "", piece_bytes: int = PIECE_BYTES, spelled: bool = False
+) -> Iterator[Words]:
     """Words of every text of the column, piece by piece.
 
-    ``breaks`` are further ASCII characters that end a word and belong to none.
+    ``breaks`` are further ASCII characters that end a word and belong to none. With ``spelled``,
+    single characters with one space between them make one word.
     """
     space = _SPACE.copy()
     for c in breaks:
         space[ord(c)] = True
-    for first, last, raw, text_at in pieces(column):
+    for first, last, raw, text_at in pieces(column, piece_bytes):
         data = _FOLD[raw]
         inside = ~space[data]
+        if spelled:
+            inside |= _between_single(inside, text_at)
         before = np.empty_like(inside)
         before[:1] = False
         before[1:] = inside[:-1]
@@ -111,13 +116,34 @@ def words(column: pa.Array, breaks: str = "") -> Iterator[Words]:
                     span_hash(data, start, end), np.searchsorted(start, text_at))
 
 
-def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans."""
+def _between_single(inside: np.ndarray, text_at: np.ndarray) -> np.ndarray:
+    """Which single gaps have a word of one byte on either side, in one text."""
+    edge = np.zeros(len(inside) + 1, dtype=bool)
+    edge[text_at] = True
+    gap = ~inside
+    single = inside.copy()
+    single[1:] &= gap[:-1] | edge[1:-1]
+    single[:-1] &= gap[1:] | edge[1:-1]
+    found = np.zeros(len(inside), dtype=bool)
+    found[1:-1] = gap[1:-1] & single[:-2] & single[2:] & ~edge[1:-2] & ~edge[2:-1]
+    return found
+
+
+def span_hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function that gives 64-bit hashes of byte spans of ``data``."""
     up, down = _power_tables(len(data))
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + _U(1)) * up[:len(data)], out=total[1:])
-    h = (total[end] - total[start]) * down[start]
-    return mixed(h ^ ((end - start).astype(np.uint64) * _STEPS[2]))
+
+    def hashes(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (total[end] - total[start]) * down[start]
+        return mixed(h ^ ((end - start).astype(np.uint64) * _STEPS[2]))
+
+    return hashes
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return span_hasher(data)(start, end)
 
 
 def word_hash(word: str) -> int:
