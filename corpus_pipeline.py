@@ -1,6 +1,7 @@
 """A training corpus from ``documents``."""
 
 from tidebook.llm import (  # noqa: F401
+    decontamination,
     language,
     near_copies,
     packing,

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.llm.registry import query, table
-from tidebook.llm.words import Words, span_hasher, words
+from tidebook.llm.words import Words, lowered, span_hasher, words
 
 #: Labelled texts learned from at most, words and characters taken from each at most.
 SAMPLE, SAMPLE_WORDS, SAMPLE_CHARS = 1500, 48, 4000
@@ -143,7 +143,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = 5, rate: float = 0.3,
         return model
     tables = [model.spans, model.grams, model.transitions, model.initial]
     squares = [np.full_like(x, 1e-2) for x in tables]
-    found = next(words(pa.array(texts, pa.string()), _BREAKS, piece_bytes=1 << 40))
+    found = next(words(lowered(pa.array(texts, pa.string())), _BREAKS, piece_bytes=1 << 40))
     counts = np.minimum(np.diff(found.word_at), SAMPLE_WORDS)
     spans, grams = _span_features(found), _gram_features(found)
     tag = np.repeat([labels.index(x) for x in langs], np.diff(found.word_at))
@@ -227,7 +227,7 @@ def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
         letters = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], dtype=bool)
         best = np.full(len(texts), len(model.labels))
         share = np.zeros(len(texts))
-        for found in words(texts, _BREAKS):
+        for found in words(lowered(texts), _BREAKS):
             counts = np.diff(found.word_at)
             sums = np.zeros((len(counts), max(1, len(model.labels))))
             if len(found.hash) and model.labels:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidebook.llm.language import remainder
 from tidebook.llm.registry import query, table
-from tidebook.llm.words import Words, mixed, span_hasher, words
+from tidebook.llm.words import Words, lowered, mixed, span_hasher, words
 
 #: Labelled documents of each class learned from at most, and the longest of them in characters.
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
@@ -167,7 +167,7 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 4) -> Model:
     if not len(label) or label.min() == label.max():
         share = 0.0 if not len(label) else float(label[0])
         return Model(np.zeros(TRIPLES, np.float32), 0.0, 0.0, 9.0 if share else -9.0)
-    found = next(words(pa.array(texts, pa.string()), piece_bytes=1 << 40, spelled=True))
+    found = next(words(lowered(pa.array(texts, pa.string())), piece_bytes=1 << 40, spelled=True))
     s = _strings(found)
     # Documents of each class that hold a string.
     pair = np.unique(s.text.astype(np.int64) * len(s.hash) + s.which)
@@ -239,7 +239,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     for batch in batches:
         texts = batch.column("text")
         top = np.full(len(texts), -1.0)
-        for found in words(texts, spelled=True):
+        for found in words(lowered(texts), spelled=True):
             s = _strings(found)
             if len(s.which):
                 value = margins(s, model.weights, model.bias)[s.which]

@@ -53,6 +53,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def lowered(column: pa.Array) -> pa.Array:
+    """The texts in lower case, letters beyond ASCII too (null stays null)."""
+    return pc.utf8_lower(column.cast(pa.large_string()))
+
+
 @dataclass
 class Words:
     """Words of the texts ``first`` to ``last`` of a column, in order."""
