@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.llm.registry import query, table
+from tidebook.llm.tfidf import BREAKS, document_counts, positions
 from tidebook.llm.words import Words, lowered, words
 
 #: Items indexed together; dimensions of the space, and spare ones while it is sought.
@@ -34,7 +35,6 @@ HALF = 32
 COSINE, PROJECTED, COVERED, ANSWERED = 0.1, 0.5, 0.7, 0.5
 #: Windows compared with all items at once.
 CHUNK = 4096
-_BREAKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
@@ -51,32 +51,10 @@ class Index:
     answers: list[np.ndarray]  #: those of the last sentence
 
 
-def _positions(terms: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Place of each hash among ``terms``, -1 if it isn't there."""
-    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    return np.where(terms[at] == hashes, at, -1)
-
-
-def _document_counts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    terms = shared.value
-    counts, documents = np.zeros(len(terms), dtype=np.int64), 0
-    for batch in batches:
-        for found in words(lowered(batch.column("text")), _BREAKS):
-            at = _positions(terms, found.hash)
-            text = np.repeat(np.arange(len(found.word_at) - 1), np.diff(found.word_at))
-            once = np.unique((text * len(terms) + at)[at >= 0]) % len(terms)
-            counts += np.bincount(once, minlength=len(terms))
-            documents += found.last - found.first
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(counts[at], documents))],
-        ["term", "n"])
-
-
 def _passage_rows(column: pa.Array, terms: np.ndarray, weights: np.ndarray):
     """TF-IDF rows of passages: terms and weights of each."""
-    for found in words(lowered(column), _BREAKS):
-        at = _positions(terms, found.hash)
+    for found in words(lowered(column), BREAKS):
+        at = positions(terms, found.hash)
         for a, b in zip(found.word_at[:-1], found.word_at[1:], strict=True):
             own, times = np.unique(at[a:b][at[a:b] >= 0], return_counts=True)
             row = times * weights[own]
@@ -152,7 +130,7 @@ def _windows(found: Words, index: Index):
     halves = np.maximum(1, -(-counts // HALF))
     base = np.cumsum(halves) - halves
     text = np.repeat(np.arange(len(counts)), halves)
-    at = _positions(index.terms, found.hash)
+    at = positions(index.terms, found.hash)
     known = np.flatnonzero(at >= 0)
     owner = np.repeat(np.arange(len(counts)), counts)[known]
     half = base[owner] + (known - found.word_at[:-1][owner]) // HALF
@@ -178,7 +156,7 @@ def _search(batches: Iterator[pa.RecordBatch], shared, cosine: float, share: flo
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
         out: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for found in words(lowered(batch.column("text")), _BREAKS):
+        for found in words(lowered(batch.column("text")), BREAKS):
             vectors, text, begin = _windows(found, index)
             norms = np.linalg.norm(vectors, axis=1)
             for a in range(0, len(vectors), CHUNK):
@@ -211,10 +189,8 @@ FOUND = "doc_id long, item_id long, cosine double, covered double, answered doub
 
 def build_index(docs: DataFrame, rows: list, rank: int = RANK) -> Index | None:
     """The index of a block of items ``(item_id, text)``; None if none has a word."""
-    context = docs.sparkSession.sparkContext
-
     def hashed(texts: list[str]) -> list[np.ndarray]:
-        found = words(lowered(pa.array(texts, pa.string())), _BREAKS)
+        found = words(lowered(pa.array(texts, pa.string())), BREAKS)
         return [f.hash[a:b] for f in found
                 for a, b in zip(f.word_at[:-1], f.word_at[1:], strict=True)]
 
@@ -226,16 +202,7 @@ def build_index(docs: DataFrame, rows: list, rank: int = RANK) -> Index | None:
         return None
     answers = [last[i] if len(last[i]) else item_words[i] for i in kept]
     terms = np.unique(np.concatenate([item_words[i] for i in kept]))
-    shared = context.broadcast(terms)
-    counted = docs.select("text").mapInArrow(
-        lambda b: _document_counts(b, shared), "term int, n long"
-    ).groupBy("term").agg(F.sum("n").alias("n"))
-    counts, total = np.zeros(len(terms)), 0
-    for r in counted.toLocalIterator():  # a row per word of the block
-        if r.term < 0:
-            total = r.n
-        else:
-            counts[r.term] = r.n
+    counts, total = document_counts(docs, terms)
     weights = np.log((1 + total) / (1 + counts)) + 1e-3
     passages = docs.sparkSession.createDataFrame([(texts[i],) for i in kept], "text string")
     space = latent_space(passages, terms, weights, rank)

@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidebook.llm.registry import query, table
 from tidebook.llm.words import Words, lowered, span_hasher, words
@@ -218,44 +219,56 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     return fit([" ".join(t.split()[:SAMPLE_WORDS]) for t, _ in chosen], [x for _, x in chosen])
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    model: Model = shared.value
+def _labels(texts: pa.Array, model: Model) -> tuple[pa.Array, pa.Array]:
+    """Language and share of each text."""
     labels = np.array([*model.labels, UNDETERMINED], dtype=object)
-    for batch in batches:
-        texts = batch.column("text")
-        # Letters of any script count; bytes alone don't tell them from other characters.
-        letters = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], dtype=bool)
-        best = np.full(len(texts), len(model.labels))
-        share = np.zeros(len(texts))
-        for found in words(lowered(texts), _BREAKS):
-            counts = np.diff(found.word_at)
-            sums = np.zeros((len(counts), max(1, len(model.labels))))
-            if len(found.hash) and model.labels:
-                scores = _emissions(found, model)
-                first, length = _chains(found.word_at)
-                total = np.zeros((len(scores) + 1, scores.shape[1]))
-                np.cumsum(_marginals(scores, first, length, model), axis=0, out=total[1:])
-                sums = total[found.word_at[1:]] - total[found.word_at[:-1]]
-            some = letters[found.first:found.last] & (counts > 0) & bool(model.labels)
-            top = sums.argmax(axis=1)
-            value = sums[np.arange(len(top)), top] / np.maximum(counts, 1)
-            best[found.first:found.last] = np.where(some, top, len(model.labels))
-            share[found.first:found.last] = np.where(some, np.clip(value, 0, 1), 0)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(labels[best], pa.string()), pa.array(share)],
-            ["doc_id", "lang_pred", "score"])
-
-
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row of ``docs(doc_id, text)``.
+    # Letters of any script count; bytes alone don't tell them from other characters.
+    letters = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], dtype=bool)
+    best = np.full(len(texts), len(model.labels))
+    share = np.zeros(len(texts))
+    for found in words(lowered(texts), _BREAKS):
+        counts = np.diff(found.word_at)
+        sums = np.zeros((len(counts), max(1, len(model.labels))))
+        if len(found.hash) and model.labels:
+            scores = _emissions(found, model)
+            first, length = _chains(found.word_at)
+            total = np.zeros((len(scores) + 1, scores.shape[1]))
+            np.cumsum(_marginals(scores, first, length, model), axis=0, out=total[1:])
+            sums = total[found.word_at[1:]] - total[found.word_at[:-1]]
+        some = letters[found.first:found.last] & (counts > 0) & bool(model.labels)
+        top = sums.argmax(axis=1)
+        value = sums[np.arange(len(top)), top] / np.maximum(counts, 1)
+        best[found.first:found.last] = np.where(some, top, len(model.labels))
+        share[found.first:found.last] = np.where(some, np.clip(value, 0, 1), 0)
+    return pa.array(labels[best], pa.string()), pa.array(share)
+
+
+def annotate(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, which replace columns of these names.
 
     ``und`` with score 0 if the text is null, empty or has no letter, or if the model knows no
     label. Rows are independent: null and repeated ids keep a row each. Ties go to the label that
-    sorts first. Other columns are ignored; an empty table gives no rows.
+    sorts first. An empty table gives no rows.
     """
+    rows = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda b: _predict(b, shared), "doc_id long, lang_pred string, score double")
+    place = rows.columns.index("text")
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *_labels(batch.column(place), shared.value)],
+                [*batch.schema.names, "lang_pred", "score"])
+
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()),
+                         StructField("score", DoubleType())])
+    return rows.mapInArrow(added, schema)
+
+
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every row of ``docs``, as ``annotate`` gives them."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return annotate(rows, model).drop("text")
 
 
 def remainder(column: str, divisor: int) -> Column:
