@@ -15,6 +15,9 @@ NAME_LENGTH, ENDPOINT_LENGTH, DESCRIPTION_LENGTH = 256, 520, 2000
 #: Steps of one flow that are looked at together when setters are searched.
 STEP_CHUNK = 1024
 MALFORMED = "_malformed"
+#: A request given as text instead of an object, at any depth. Quotes inside JSON text are
+#: escaped, so nothing but a key reads like this.
+TEXT_REQUEST = r'"request"\s*:\s*"'
 
 
 def _parsed(corpus: DataFrame) -> DataFrame:
@@ -23,12 +26,17 @@ def _parsed(corpus: DataFrame) -> DataFrame:
         {"columnNameOfCorruptRecord": MALFORMED},
     )
     return once(corpus.select("path", "content"), doc, "doc").withColumn(
-        "bad", F.col("content").isNull() | F.col(f"doc.{MALFORMED}").isNotNull()
+        "bad",
+        F.col("content").isNull() | F.col(f"doc.{MALFORMED}").isNotNull()
+        | F.col("content").rlike(TEXT_REQUEST),
     )
 
 
 def collection_rejects(corpus: DataFrame) -> DataFrame:
-    """Collections that cannot be read; they add no rows to any relation."""
+    """Collections that cannot be read, or hold a request that is no object.
+
+    They add no rows to any relation.
+    """
     return _parsed(corpus).where("bad").select("path")
 
 
@@ -104,14 +112,21 @@ def flows(
 
 
 def _address(url: Column) -> Column:
-    """Raw address of a request; the JSON form of a URL has it under ``raw``."""
-    return F.when(url.startswith("{"), F.get_json_object(url, "$.raw")).otherwise(url)
+    """Raw address of a request; the JSON form of a URL has it under ``raw``.
+
+    An address may itself begin with a template variable, so text counts as JSON only if it can
+    be read as an object.
+    """
+    form = F.from_json(url, f"raw string, {MALFORMED} string",
+                       {"columnNameOfCorruptRecord": MALFORMED})
+    is_object = url.startswith("{") & form.getField(MALFORMED).isNull()
+    return F.when(is_object, form.raw).otherwise(url)
 
 
 def _script(lines: Column) -> Column:
-    """Script text; a script is a list of lines, or one string."""
+    """Script text; a script is a list of lines, or one string that may begin with a bracket."""
     joined = F.array_join(F.from_json(lines, "array<string>"), "")
-    return F.when(lines.startswith("["), joined).otherwise(lines)
+    return F.when(lines.startswith("["), F.coalesce(joined, lines)).otherwise(lines)
 
 
 def request_steps(requests: DataFrame) -> DataFrame:

@@ -27,6 +27,13 @@ COLUMNS = {
 }
 
 
+def dump_rejects(dumps: DataFrame) -> DataFrame:
+    """Dumps that cannot be read; they add no rows to any relation."""
+    return dumps.where(
+        F.from_json("content", schemas.SCHEDULER_DOC).isNull()
+    ).select("path")
+
+
 def dump_rows(dumps: DataFrame, table: str) -> DataFrame:
     """Rows of one relation with their place in the dumps."""
     rows = F.from_json("content", schemas.SCHEDULER_DOC)[table]

@@ -132,7 +132,11 @@ def spec_documents(t) -> DataFrame:
 
 
 def collection_documents(t) -> DataFrame:
-    """A request collection per order: log in, read it in a folder, change it one level deeper."""
+    """A request collection per order: log in, read it in a folder, change it one level deeper.
+
+    Then addresses that begin with a variable, one of which saves a value that the next uses, and
+    a request made twice that uses what its own endpoint saved.
+    """
     content = F.format_string(
         """{"info": {"name": "order-%d", "description": "%s"}, "item": [
         {"name": "login", "request": {"method": "POST",
@@ -146,8 +150,14 @@ def collection_documents(t) -> DataFrame:
           {"name": "inner", "item": [
             {"name": "", "request": {"url": {"raw": "https://api/{{order}}/{{token}}/{{none}}"}}}
           ]}]},
-        {"name": "a note"}]}""",
-        "o_orderkey", "o_orderpriority", "o_custkey", "o_orderkey",
+        {"name": "a note"},
+        {"name": "open", "request": {"method": "GET", "url": "{{base}}/session/%d"},
+         "event": [{"script": {"exec": ["c.set('sid', 3)"]}}]},
+        {"name": "use", "request": {"method": "PUT", "url": "{{base}}/use/{{sid}}"}},
+        {"name": "self", "request": {"url": "https://api/self/{{loop}}"},
+         "event": [{"script": {"exec": ["c.set('loop', 4)"]}}]},
+        {"name": "again", "request": {"url": "https://api/self/{{loop}}"}}]}""",
+        "o_orderkey", "o_orderpriority", "o_custkey", "o_orderkey", "o_custkey",
     )
     path = F.format_string("/POSTMAN/%012d.postman.json", "o_orderkey")
     return t.orders.select(path.alias("path"), content.alias("content"))

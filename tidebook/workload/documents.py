@@ -9,7 +9,7 @@ from ..functions import text as x
 from ..functions.projects import ProjectRules
 from ..operators import catalog_views
 from ..plans import collections, interfaces, manifests, specs, synthetic
-from ..sources.scheduler import dump_relation, task_instances
+from ..sources.scheduler import dump_rejects, dump_relation, task_instances
 from ..sources.tables import parse_lines, typed_feed
 from . import bindings as b
 from . import corpora
@@ -94,6 +94,11 @@ def spec_errors(t):
     return specs.spec_errors(corpora.spec_documents(t), RULES)
 
 
+def _half(text):
+    """A document that was cut off."""
+    return F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))
+
+
 @query("spec_rejects", """
 SELECT '/API-SPEC/' || source || '/swagger-spec-' || doc_id || '.json' AS path FROM documents
 WHERE lang <> 'en'""")
@@ -101,7 +106,7 @@ def spec_rejects(t):
     """The same corpus with the files of one format cut in half."""
     corpus = corpora.spec_documents(t)
     newer = F.get_json_object("content", "$.openapi").isNotNull()
-    half = F.substring("content", F.lit(1), F.floor(F.length("content") / 2).cast("int"))
+    half = _half(F.col("content"))
     broken = corpus.withColumn("content", F.when(newer, F.col("content")).otherwise(half))
     return specs.spec_rejects(broken)
 
@@ -143,13 +148,30 @@ def list_by_project(t):
 @query("collection_flows", """
 SELECT 'order-' || o_orderkey AS flow_key, 'order-' || o_orderkey AS flow_name,
        'internal' AS project_id, o_orderpriority AS description,
-       CAST(3 AS BIGINT) AS step_count
+       CAST(7 AS BIGINT) AS step_count
 FROM orders""")
 def collection_flows(t):
     corpus = corpora.collection_documents(t)
     return collections.flows(corpus, collections.flow_requests(corpus), RULES)
 
 
+@query("collection_rejects", """
+SELECT '/POSTMAN/' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || '.postman.json' AS path
+FROM orders WHERE o_orderstatus <> 'O'""")
+def collection_rejects(t):
+    """The corpus with some documents cut in half, and a request given as text in others."""
+    status = t.orders.select(
+        F.format_string("/POSTMAN/%012d.postman.json", "o_orderkey").alias("path"),
+        "o_orderstatus")
+    corpus = corpora.collection_documents(t).join(status, "path")
+    text = F.replace("content", F.lit('{"url": "https://api/self/{{loop}}"}'), F.lit('"GET x"'))
+    broken = corpus.withColumn(
+        "content",
+        F.when(F.col("o_orderstatus") == "F", _half(F.col("content")))
+        .when(F.col("o_orderstatus") == "P", text).otherwise(F.col("content")))
+    return collections.collection_rejects(broken)
+
+
 @query("collection_steps", """
 SELECT 'order-' || o_orderkey AS flow_key, CAST(1 AS BIGINT) AS step_order,
        'login' AS label,
@@ -160,7 +182,15 @@ SELECT 'order-' || o_orderkey, 2, 'read',
        'GET https://api/orders/' || o_orderkey || '?t={{token}}', 'order' FROM orders
 UNION ALL
 SELECT 'order-' || o_orderkey, 3, 'Step 3', 'GET https://api/{{order}}/{{token}}/{{none}}', NULL
-FROM orders""")
+FROM orders
+UNION ALL
+SELECT 'order-' || o_orderkey, 4, 'open', 'GET {{base}}/session/' || o_custkey, 'sid' FROM orders
+UNION ALL
+SELECT 'order-' || o_orderkey, 5, 'use', 'PUT {{base}}/use/{{sid}}', NULL FROM orders
+UNION ALL
+SELECT 'order-' || o_orderkey, 6, 'self', 'GET https://api/self/{{loop}}', 'loop' FROM orders
+UNION ALL
+SELECT 'order-' || o_orderkey, 7, 'again', 'GET https://api/self/{{loop}}', NULL FROM orders""")
 def collection_steps(t):
     requests = collections.flow_requests(corpora.collection_documents(t))
     return collections.flow_steps(collections.request_steps(requests))
@@ -174,7 +204,10 @@ SELECT DISTINCT 'GET https://api/{{order}}/{{token}}/{{none}}',
        'POST https://api/login/' || o_custkey, 'uses' FROM orders
 UNION ALL
 SELECT 'GET https://api/{{order}}/{{token}}/{{none}}',
-       'GET https://api/orders/' || o_orderkey || '?t={{token}}', 'uses' FROM orders""")
+       'GET https://api/orders/' || o_orderkey || '?t={{token}}', 'uses' FROM orders
+UNION ALL
+SELECT DISTINCT 'PUT {{base}}/use/{{sid}}', 'GET {{base}}/session/' || o_custkey, 'uses'
+FROM orders""")
 def collection_dependencies(t):
     requests = collections.flow_requests(corpora.collection_documents(t))
     return collections.flow_dependencies(collections.request_steps(requests))
@@ -236,9 +269,32 @@ def lineage_resolve(t):
     return manifests.lineage(corpora.manifest_documents(t)[0], RULES)
 
 
+@query("manifest_rejects", """
+SELECT 'part-' || p_partkey AS doc_id FROM part WHERE p_size % 2 = 0""")
+def manifest_rejects(t):
+    """The corpus with every other manifest cut in half."""
+    corpus = corpora.manifest_documents(t)[0]
+    sizes = t.part.select(
+        F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("doc_id"), "p_size")
+    cut_off = F.when(F.col("p_size") % 2 == 0, _half(F.col("content")))
+    broken = corpus.join(sizes, "doc_id").withColumn("content", F.coalesce(cut_off, "content"))
+    return manifests.manifest_rejects(broken)
+
+
 # --- scheduler --------------------------------------------------------------------------
 
 
+@query("dump_rejects", """
+SELECT '/dumps/' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || '.json' AS path
+FROM orders WHERE o_orderkey % 3 = 0""")
+def dump_rejects_(t):
+    """The dumps with every third order's cut in half."""
+    key = F.regexp_extract("path", r"(\d+)", 1).cast("bigint")
+    broken = corpora.scheduler_dumps(t).withColumn(
+        "content", F.when(key % 3 == 0, _half(F.col("content"))).otherwise(F.col("content")))
+    return dump_rejects(broken)
+
+
 @query("airflow_dag", """
 SELECT 'dag_' || o_orderkey AS dag_id, o_orderstatus = 'F' AS is_paused,
        o_orderpriority AS owners FROM orders""")
@@ -255,11 +311,13 @@ def airflow_dag_tag(t):
 
 @query("airflow_task_instance", """
 SELECT 'dag_' || o_orderkey AS dag_id, 'load' AS task_id, 'success' AS state,
-       strftime(o_orderdate, '%Y-%m-%d') || ' 01:02:03' AS start_date FROM orders
-UNION ALL SELECT 'dag_' || o_orderkey, 'wait', NULL, NULL FROM orders""")
+       strftime(o_orderdate, '%Y-%m-%d') || ' 01:02:03' AS start_date,
+       strftime(o_orderdate, '%Y-%m-%d') || ' 01:30:00' AS end_date FROM orders
+UNION ALL SELECT 'dag_' || o_orderkey, 'wait', NULL, NULL, NULL FROM orders""")
 def airflow_task_instance(t):
     tasks = task_instances(corpora.scheduler_dumps(t))
-    return tasks.select("dag_id", "task_id", "state", F.col("start_date").cast("string"))
+    return tasks.select("dag_id", "task_id", "state", F.col("start_date").cast("string"),
+                        F.col("end_date").cast("string"))
 
 
 @query("top_recent_tasks", """
