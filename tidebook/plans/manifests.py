@@ -17,28 +17,57 @@ from ..functions.projects import ProjectRules
 from ..functions.values import first_filled, first_filled_map, once
 
 PLATFORM = "dbt"
+MALFORMED = "_malformed"
+SOURCE = "struct<name: string, schema: string, source_name: string>"
 
 
 def dataset_key(schema: Column, name: Column) -> Column:
     return F.concat(F.lit(f"{PLATFORM}."), schema, F.lit("."), name)
 
 
-def models(manifests: DataFrame) -> DataFrame:
-    """Model nodes with names, schema and metadata resolved; other nodes are left out."""
-    nodes = manifests.select(
-        "doc_id",
-        F.explode(F.from_json("content", schemas.MANIFEST_DOC).nodes).alias("uid", "text"),
+def _parsed(manifests: DataFrame) -> DataFrame:
+    """Manifests parsed once per row; one that cannot be read is rejected whole."""
+    doc = F.from_json(
+        "content", f"{schemas.MANIFEST_DOC}, {MALFORMED} string",
+        {"columnNameOfCorruptRecord": MALFORMED},
     )
-    nodes = once(nodes, F.from_json("text", schemas.MANIFEST_NODE), "node")
+    return once(manifests.select("doc_id", "content"), doc, "doc").withColumn(
+        "bad", F.col("content").isNull() | F.col(f"doc.{MALFORMED}").isNotNull()
+    )
+
+
+def manifest_rejects(manifests: DataFrame) -> DataFrame:
+    """Manifests that cannot be read; they add no rows to any relation."""
+    return _parsed(manifests).where("bad").select("doc_id")
+
+
+def _entries(manifests: DataFrame) -> DataFrame:
+    """Model nodes and sources of the readable manifests, in one pass: a row has one of both."""
+    nodes = F.transform(F.map_entries("doc.nodes"), lambda e: F.struct(
+        e.key.alias("uid"), e.value.alias("text"), F.lit(None).cast(SOURCE).alias("source")))
+    sources = F.transform(F.map_entries("doc.sources"), lambda e: F.struct(
+        e.key.alias("uid"), F.lit(None).cast("string").alias("text"), e.value.alias("source")))
+    none = F.array().cast(f"array<struct<uid: string, text: string, source: {SOURCE}>>")
+    listed = _parsed(manifests).where(~F.col("bad")).select("doc_id", F.explode(
+        F.concat(F.coalesce(nodes, none), F.coalesce(sources, none))).alias("entry"))
+    rows = once(listed.select("doc_id", "entry.*"), F.from_json("text", schemas.MANIFEST_NODE),
+                "node")
     schema = F.coalesce(first_filled(F.col("node.schema")), F.lit(PLATFORM))
-    return nodes.where(F.col("node.resource_type") == "model").select(
-        "doc_id", "uid", "node",
+    return rows.where(
+        F.col("source").isNotNull() | (F.col("node.resource_type") == "model")
+    ).select(
+        "doc_id", "uid", "node", "source",
         F.coalesce("node.name", x.last_dotted(F.col("uid"))).alias("name"),
         schema.alias("schema_name"),
         first_filled_map(F.col("node.config.meta"), F.col("node.meta")).alias("meta"),
     )
 
 
+def models(manifests: DataFrame) -> DataFrame:
+    """Model nodes with names, schema and metadata resolved; other nodes are left out."""
+    return _entries(manifests).where("source is null").drop("source")
+
+
 def datasets(manifests: DataFrame, rules: ProjectRules = ProjectRules()) -> DataFrame:
     return models(manifests).select(
         F.lit(PLATFORM).alias("platform_id"),
@@ -89,44 +118,34 @@ def transformations(manifests: DataFrame, rules: ProjectRules = ProjectRules())
     )
 
 
-def dataset_keys(manifests: DataFrame) -> DataFrame:
-    """Unique id to dataset key, for models and sources."""
-    of_models = models(manifests).select(
-        "doc_id", "uid", dataset_key(F.col("schema_name"), F.col("name")).alias("key")
-    )
-    sources = manifests.select(
-        "doc_id",
-        F.explode(F.from_json("content", schemas.MANIFEST_DOC).sources).alias("uid", "source"),
+def _key_of_entry() -> Column:
+    of_source = dataset_key(
+        first_filled(F.col("source.schema"), F.col("source.source_name"), F.lit("source")),
+        F.coalesce("source.name", x.last_dotted(F.col("uid"))),
     )
-    of_sources = sources.select(
-        "doc_id", "uid",
-        dataset_key(
-            first_filled(
-                F.col("source.schema"), F.col("source.source_name"), F.lit("source")
-            ),
-            F.coalesce("source.name", x.last_dotted(F.col("uid"))),
-        ).alias("key"),
-    )
-    return of_models.unionByName(of_sources)
+    return F.when(F.col("source").isNotNull(), of_source).otherwise(
+        dataset_key(F.col("schema_name"), F.col("name")))
 
 
-def resolve_edges(dependencies: DataFrame, keys: DataFrame) -> DataFrame:
-    """``(doc_id, uid, depends_on)`` with both ids replaced by keys; unresolved ones drop out."""
-    upstream = keys.select("doc_id", F.col("uid").alias("depends_on"),
-                           F.col("key").alias("from_key"))
-    downstream = keys.select("doc_id", "uid", F.col("key").alias("to_key"))
-    return dependencies.join(upstream.hint("merge"), ["doc_id", "depends_on"]).join(
-        downstream.hint("merge"), ["doc_id", "uid"]
-    )
+def dataset_keys(manifests: DataFrame) -> DataFrame:
+    """Unique id to dataset key, for models and sources."""
+    return _entries(manifests).select("doc_id", "uid", _key_of_entry().alias("key"))
 
 
 def lineage(manifests: DataFrame, rules: ProjectRules = ProjectRules()) -> DataFrame:
-    """Edges between datasets. The project comes from the model's name alone."""
+    """Edges between datasets; inputs the manifest does not define drop out.
+
+    A model knows its own key, so one join resolves the input. The project comes from the
+    model's name alone.
+    """
     depends = models(manifests).select(
-        "doc_id", "uid", F.coalesce("node.name", F.lit("")).alias("name"),
+        "doc_id", dataset_key(F.col("schema_name"), F.col("name")).alias("to_key"),
+        F.coalesce("node.name", F.lit("")).alias("name"),
         F.explode("node.depends_on.nodes").alias("depends_on"),
     )
-    return resolve_edges(depends, dataset_keys(manifests)).select(
+    upstream = dataset_keys(manifests).select(
+        "doc_id", F.col("uid").alias("depends_on"), F.col("key").alias("from_key"))
+    return depends.join(upstream.hint("merge"), ["doc_id", "depends_on"]).select(
         F.concat("from_key", F.lit("->"), "to_key").alias("edge_id"),
         "from_key",
         "to_key",
