@@ -59,9 +59,6 @@ def test_rounding_modes(value):
 
 
 def test_text_to_types(value):
-    assert value(v.iso_day(F.lit("2025-02-03"))) == date(2025, 2, 3)
-    assert value(v.iso_day(F.lit(""))) is None
-    assert value(v.number_from_text(F.lit(""), 20, 2)) is None
     assert value(v.typed(F.lit("abcdef"), "varchar(3)")) == "abc"
 
 

@@ -51,15 +51,6 @@ def truthy(c: Column) -> Column:
     return F.coalesce(~F.lower(c).isin("", "false", "0", "null"), F.lit(False))
 
 
-def iso_day(c: Column) -> Column:
-    """``YYYY-MM-DD`` text to a date; empty text is NULL, anything else malformed raises."""
-    return F.to_date(blank_to_null(c), "yyyy-MM-dd")
-
-
-def number_from_text(c: Column, precision: int, scale: int) -> Column:
-    return blank_to_null(c).cast(f"decimal({precision},{scale})")
-
-
 def to_base_currency(amount: Column, fx_rate: Column) -> Column:
     """Amount in the account currency, rounded half up to cents."""
     return F.round(amount * fx_rate, 2).cast("decimal(20,2)")

@@ -50,10 +50,6 @@ def session_counters(
     )
 
 
-def stats_of_run(stats: DataFrame, run_id: str) -> DataFrame:
-    return stats.where(F.col("run_id") == run_id).orderBy("run_started_at")
-
-
 def attach_pod_metrics(stats: DataFrame, pods: DataFrame) -> DataFrame:
     """Peaks of each model's pod; models without a measurement keep NULLs."""
     peaks = pods.select(

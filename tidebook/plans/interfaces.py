@@ -20,19 +20,26 @@ RENAMED = {"app_owner": "app_contact", "improvement": "process_improvement"}
 
 
 def interface_rows(interfaces: DataFrame) -> DataFrame:
-    """Interfaces under their catalog names; columns the list lacks are NULL."""
+    """Interfaces under their catalog names; columns the list lacks are NULL.
+
+    An ``ordinal`` of the list is carried along: of interfaces with one id the last wins.
+    """
     renamed = interfaces.withColumnsRenamed(RENAMED)
     return renamed.select([
         F.col(c) if c in renamed.columns else F.lit(None).cast("string").alias(c)
         for c in INTERFACE_COLUMNS
-    ])
+    ] + ["ordinal"] * ("ordinal" in renamed.columns))
 
 
 def routing_hops(interfaces: DataFrame, rules: ProjectRules = ProjectRules()) -> DataFrame:
     """Systems an interface passes through, numbered from 0."""
-    return interfaces.select(
-        "interface_id", F.posexplode("routing_hops").alias("hop_order", "system_name")
-    ).withColumn("project_id", rules.for_system(F.col("system_name")))
+    order = ["ordinal"] * ("ordinal" in interfaces.columns)
+    hops = interfaces.select(
+        "interface_id", *order, F.posexplode("routing_hops").alias("hop_order", "system_name")
+    )
+    return hops.select(
+        "interface_id", "hop_order", "system_name",
+        rules.for_system(F.col("system_name")).alias("project_id"), *order)
 
 
 def system_traffic(

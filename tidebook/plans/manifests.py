@@ -48,15 +48,15 @@ def _entries(manifests: DataFrame) -> DataFrame:
     sources = F.transform(F.map_entries("doc.sources"), lambda e: F.struct(
         e.key.alias("uid"), F.lit(None).cast("string").alias("text"), e.value.alias("source")))
     none = F.array().cast(f"array<struct<uid: string, text: string, source: {SOURCE}>>")
-    listed = _parsed(manifests).where(~F.col("bad")).select("doc_id", F.explode(
-        F.concat(F.coalesce(nodes, none), F.coalesce(sources, none))).alias("entry"))
-    rows = once(listed.select("doc_id", "entry.*"), F.from_json("text", schemas.MANIFEST_NODE),
+    listed = _parsed(manifests).where(~F.col("bad")).select("doc_id", F.posexplode(
+        F.concat(F.coalesce(nodes, none), F.coalesce(sources, none))).alias("at", "entry"))
+    rows = once(listed.select("doc_id", "at", "entry.*"), F.from_json("text", schemas.MANIFEST_NODE),
                 "node")
     schema = F.coalesce(first_filled(F.col("node.schema")), F.lit(PLATFORM))
     return rows.where(
         F.col("source").isNotNull() | (F.col("node.resource_type") == "model")
     ).select(
-        "doc_id", "uid", "node", "source",
+        "doc_id", "at", "uid", "node", "source",
         F.coalesce("node.name", x.last_dotted(F.col("uid"))).alias("name"),
         schema.alias("schema_name"),
         first_filled_map(F.col("node.config.meta"), F.col("node.meta")).alias("meta"),
@@ -68,6 +68,11 @@ def models(manifests: DataFrame) -> DataFrame:
     return _entries(manifests).where("source is null").drop("source")
 
 
+def _ordinal(*position: str) -> Column:
+    """Later manifests, and later entries of one, win."""
+    return F.struct("doc_id", "at", *position).alias("ordinal")
+
+
 def datasets(manifests: DataFrame, rules: ProjectRules = ProjectRules()) -> DataFrame:
     return models(manifests).select(
         F.lit(PLATFORM).alias("platform_id"),
@@ -78,30 +83,32 @@ def datasets(manifests: DataFrame, rules: ProjectRules = ProjectRules()) -> Data
         x.layer_of(F.col("name"), F.col("node.path")).alias("layer"),
         F.col("node.description").alias("tech_desc"),
         F.try_element_at("meta", F.lit("owner")).alias("owner"),
+        _ordinal(),
     )
 
 
 def columns(manifests: DataFrame, catalogs: DataFrame) -> DataFrame:
     """Columns the catalog lists for a model, in catalog order, described by the manifest."""
     described = models(manifests).select(
-        "doc_id", "uid", "schema_name", "name", F.col("node.columns").alias("described")
+        "doc_id", "at", "uid", "schema_name", "name", F.col("node.columns").alias("described")
     )
     cataloged = catalogs.select(
         "doc_id",
         F.explode(F.from_json("content", schemas.CATALOG_DOC).nodes).alias("uid", "entry"),
     )
     listed = described.join(cataloged.hint("merge"), ["doc_id", "uid"]).select(
-        "schema_name", "name", "described",
-        F.posexplode(F.map_entries("entry.columns")).alias("at", "column"),
+        "doc_id", "at", "schema_name", "name", "described",
+        F.posexplode(F.map_entries("entry.columns")).alias("place", "column"),
     )
     return listed.select(
         F.lit(PLATFORM).alias("platform_id"),
         "schema_name",
         F.col("name").alias("object_name"),
         F.col("column.key").alias("column_name"),
-        (F.col("at") + 1).alias("position_order"),
+        (F.col("place") + 1).alias("position_order"),
         F.col("column.value.type").alias("data_type"),
         F.try_element_at("described", F.col("column.key")).description.alias("tech_desc"),
+        _ordinal("place"),
     )
 
 
@@ -115,6 +122,7 @@ def transformations(manifests: DataFrame, rules: ProjectRules = ProjectRules())
         .alias("compiled_sql"),
         F.coalesce(first_filled(F.col("node.raw_code")), F.col("node.raw_sql"))
         .alias("raw_sql"),
+        _ordinal(),
     )
 
 
@@ -139,9 +147,9 @@ def lineage(manifests: DataFrame, rules: ProjectRules = ProjectRules()) -> DataF
     model's name alone.
     """
     depends = models(manifests).select(
-        "doc_id", dataset_key(F.col("schema_name"), F.col("name")).alias("to_key"),
+        "doc_id", "at", dataset_key(F.col("schema_name"), F.col("name")).alias("to_key"),
         F.coalesce("node.name", F.lit("")).alias("name"),
-        F.explode("node.depends_on.nodes").alias("depends_on"),
+        F.posexplode("node.depends_on.nodes").alias("place", "depends_on"),
     )
     upstream = dataset_keys(manifests).select(
         "doc_id", F.col("uid").alias("depends_on"), F.col("key").alias("from_key"))
@@ -153,4 +161,5 @@ def lineage(manifests: DataFrame, rules: ProjectRules = ProjectRules()) -> DataF
         F.lit("dataset").alias("to_type"),
         F.lit(PLATFORM).alias("source"),
         rules.for_model(F.col("name")).alias("project_id"),
+        _ordinal("place"),
     )

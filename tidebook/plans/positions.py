@@ -11,8 +11,13 @@ from .. import schemas
 from ..operators import quality as q
 from ..operators.enrichment import enrich_positions
 from ..operators.marts import exposure_by_asset_class, nav_by_account_daily
-from ..operators.staging import stage_accounts, stage_positions, stage_securities
-from ..sinks.tables import incremental_build, rebuild
+from ..operators.staging import (
+    SMOKE_TEST_ROWS,
+    stage_accounts,
+    stage_positions,
+    stage_securities,
+)
+from ..sinks.tables import incremental_build, read_table, rebuild
 from ..sources.tables import bronze_views
 from .run_recording import RunRecorder
 
@@ -42,11 +47,17 @@ def build(
     layout: Layout,
     recorder: RunRecorder | None = None,
     smoke_rows: int | None = None,
+    smoke: bool = False,
+    check: bool = False,
 ) -> dict[str, int]:
     """Run every model once; returns the rows each wrote.
 
-    Bronze stays lazy, so column pruning and the look-back filter reach the landing scan.
+    Bronze stays lazy, so column pruning and the look-back filter reach the landing scan. A smoke
+    run takes ``smoke_rows`` positions, or the usual number. With ``check`` the declared checks
+    run at the end, and a violation is an error.
     """
+    if smoke and smoke_rows is None:
+        smoke_rows = SMOKE_TEST_ROWS
     recorder = recorder or RunRecorder()
     bronze = bronze_views(spark, layout.landing, {
         "positions_raw": lambda raw: stage_positions(raw, smoke_rows),
@@ -65,7 +76,7 @@ def build(
         )
 
     written = {"positions_enriched": recorder.run("positions_enriched", "incremental", silver)}
-    enriched = spark.read.parquet(layout.silver)
+    enriched = read_table(spark, layout.silver)
     marts = {
         "nav_by_account_daily": nav_by_account_daily,
         "exposure_by_asset_class": exposure_by_asset_class,
@@ -74,6 +85,11 @@ def build(
         written[name] = recorder.run(
             name, "table", lambda mart=mart, name=name: rebuild(mart(enriched), layout.gold(name))
         )
+    if check:
+        failed = q.quality_report(declared_checks(spark, layout)).where("violations > 0")
+        rows = [f"{r[0]}: {r[1]}" for r in failed.collect()]  # a row per declared check
+        if rows:
+            raise q.QualityError("; ".join(rows))
     return written
 
 
@@ -86,7 +102,7 @@ def declared_checks(spark: SparkSession, layout: Layout) -> dict:
     positions, securities, accounts = (
         raw["positions_raw"], raw["securities"], raw["accounts"]
     )
-    silver = spark.read.parquet(layout.silver)
+    silver = read_table(spark, layout.silver)
     nav = spark.read.parquet(layout.gold("nav_by_account_daily"))
     exposure = spark.read.parquet(layout.gold("exposure_by_asset_class"))
     required = {

@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..operators.runstats import session_counters
-from ..sinks.tables import append_rows
+from ..sinks.tables import append_rows, ensure_table
 
 
 @dataclass
 class RunRecorder:
-    """Times model runs and appends a row for each; without a table it only runs them.
+    """Times model runs and appends a row for each; without a target it only runs them.
+
+    The target is a folder, or a catalog table, which is created when it is missing.
 
     ``counters`` gives long counter rows and counter names when the platform collects them;
     otherwise those columns stay NULL.
@@ -29,6 +31,7 @@ class RunRecorder:
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     threads: int | None = None
     counters: Callable[[], tuple[DataFrame, DataFrame]] | None = None
+    table: str | None = None
 
     def run(self, model: str, materialization: str, write: Callable[[], int]) -> int:
         """Run ``write``, which returns its number of rows, and record it, failed or not."""
@@ -42,7 +45,7 @@ class RunRecorder:
         return rows
 
     def _append(self, model, materialization, started, elapsed, rows, status) -> None:
-        if self.path is None:
+        if self.path is None and self.table is None:
             return
         spark = self.spark
         row = {
@@ -58,7 +61,12 @@ class RunRecorder:
         }
         measured = self._measured()
         values = tuple(row.get(c, measured.get(c)) for c in schemas.RUN_STATS.names)
-        append_rows(spark.createDataFrame([values], schemas.RUN_STATS), self.path)
+        row = spark.createDataFrame([values], schemas.RUN_STATS)
+        if self.path is not None:
+            append_rows(row, self.path)
+        if self.table is not None:
+            ensure_table(spark, self.table, schemas.RUN_STATS)
+            row.write.insertInto(self.table)
 
     def _measured(self) -> dict:
         """The session's counters: one row after the pivot."""

@@ -126,8 +126,10 @@ def spec_endpoints(corpus: DataFrame, rules: ProjectRules = ProjectRules()) -> D
 
 _FIELD = (
     "struct<field_name:string,data_type:string,required:string,max_length:string,"
-    "format:string,example_value:string,description:string>"
+    "format:string,example_value:string,description:string,absent:array<string>>"
 )
+#: Columns a parameter does not have: merging it leaves a body field's values alone.
+BODY_ONLY = ("max_length", "format", "example_value")
 
 
 def _field(name: Column, data_type: Column, required: Column, description: Column, **more):
@@ -138,6 +140,7 @@ def _field(name: Column, data_type: Column, required: Column, description: Colum
         more.get("format", nothing).alias("format"),
         more.get("example_value", nothing).alias("example_value"),
         description.alias("description"),
+        F.array(*[F.lit(c) for c in BODY_ONLY if not more]).cast("array<string>").alias("absent"),
     )
 
 
@@ -184,7 +187,10 @@ def _parameter_fields() -> Column:
 
 
 def spec_fields(corpus: DataFrame, rules: ProjectRules = ProjectRules()) -> DataFrame:
-    """Request body fields, then parameters, in document order."""
+    """Request body fields, then parameters, in document order.
+
+    ``absent`` names the columns a row does not have, as opposed to those it has as NULL.
+    """
     fields = F.concat(_none_if_null(_body_fields()), _none_if_null(_parameter_fields()))
     return (
         _operations(_specs(corpus, rules))

@@ -22,9 +22,16 @@ def build_session(
     app_name: str = "tidebook",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    input_bytes: int | None = None,
+    cores: int | None = None,
     **conf: str,
 ) -> SparkSession:
-    """A session with the settings the sinks and plans are written for."""
+    """A session with the settings the sinks and plans are written for.
+
+    ``input_bytes`` and ``cores`` set the shuffle partitions where their number is not given.
+    """
+    if shuffle_partitions is None and input_bytes is not None:
+        shuffle_partitions = shuffle_partitions_for(input_bytes, cores or 1)
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")

@@ -1,8 +1,9 @@
-"""Catalog relations that change together: new version first, then one commit record.
+"""Catalog relations that change together: new versions first, then one commit record.
 
-A bundle is a folder of versions, each with one Parquet folder per relation, and a commit log
-with one row per finished version. Readers take the newest version in the log, so a job that
-dies half way leaves nothing they can see. One writer at a time.
+A commit writes only the relations it brings, each to a folder of its version, and one log row
+that says where every relation now is. Readers take the newest row, so a job that dies half way
+leaves nothing they can see. One writer at a time. ``remove_old_versions`` deletes what no recent
+commit points to.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.merging import dedupe_latest, merge_rows
@@ -19,27 +21,49 @@ from .tables import append_rows, read_if_present
 _LOG = "_commits"
 
 
-def current_version(spark: SparkSession, root: str) -> int:
-    """Newest committed version, 0 before the first."""
-    log = read_if_present(spark, f"{root}/{_LOG}")
-    return 0 if log is None else log.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+_COMMIT = "version long, locations map<string, string>, committed_at timestamp"
+
 
+def _newest(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
+    """Newest committed version (0 before the first) and the folders of its relations."""
+    log = read_if_present(spark, f"{root}/{_LOG}", T.DataType.fromDDL(_COMMIT))
+    row = None if log is None else log.orderBy(F.desc("version")).first()
+    return (0, {}) if row is None else (row.version, dict(row.locations))
 
-def _relation_path(root: str, version: int, name: str) -> str:
-    return f"{root}/version={version:08d}/{name}"
+
+def current_version(spark: SparkSession, root: str) -> int:
+    return _newest(spark, root)[0]
 
 
 def read_relation(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """A relation as of the newest commit, None when no commit wrote it."""
-    version = current_version(spark, root)
-    return read_if_present(spark, _relation_path(root, version, name)) if version else None
+    place = _newest(spark, root)[1].get(name)
+    return None if place is None else read_if_present(spark, f"{root}/{place}")
+
 
+def merged_relation(stored: DataFrame | None, rows: DataFrame, name: str) -> DataFrame:
+    """A relation after merging the bundle's rows one after another, in order of ``ordinal``.
 
-def _merged(stored: DataFrame | None, rows: DataFrame, name: str) -> DataFrame:
-    """A relation after merging the bundle's rows one after another."""
+    A row may name columns it does not have in ``absent``: those keep what earlier rows, or the
+    stored relation, have.
+    """
     keys = schemas.CATALOG_KEYS[name]
     order = [F.col("ordinal").desc()] if "ordinal" in rows.columns else []
-    latest = dedupe_latest(rows, keys, order).drop("ordinal")
+    if "absent" not in rows.columns:
+        latest = dedupe_latest(rows, keys, order).drop("ordinal")
+    else:
+        values = [c for c in rows.columns if c not in (*keys, "ordinal", "absent")]
+        last = rows.groupBy(*keys).agg(*[
+            F.max_by(F.struct(c), F.when(~F.array_contains("absent", c), F.col("ordinal"))).alias(c)
+            for c in values])
+        latest = last
+        kept = [] if stored is None else [c for c in values if c in stored.columns]
+        if kept:
+            old = stored.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in kept])
+            latest = last.join(old, keys, "left")
+        latest = latest.select(*keys, *[
+            F.when(F.col(c).isNull(), F.col(f"_old_{c}")).otherwise(F.col(f"{c}.{c}")).alias(c)
+            if c in kept else F.col(f"{c}.{c}").alias(c) for c in values])
     if stored is None:
         return latest
     return merge_rows(stored, latest, keys, schemas.CATALOG_PROTECTED.get(name, ()))
@@ -51,23 +75,42 @@ def commit_bundle(
     """Upsert every relation of a bundle and make all of them visible at once.
 
     A relation may carry an ``ordinal`` column: among rows with one key the highest wins, as if
-    they had been merged one after another. Relations of the bundle that get no rows are
-    carried over.
+    they had been merged one after another. Relations the bundle does not bring stay where they
+    are.
     """
-    version = current_version(spark, root)
+    version, locations = _newest(spark, root)
     for name in schemas.CATALOG_KEYS:
-        stored = (
-            read_if_present(spark, _relation_path(root, version, name)) if version else None
-        )
         rows = relations.get(name)
-        if rows is None and stored is None:
+        if rows is None:
             continue
-        merged = stored if rows is None else _merged(stored, rows, name)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            _relation_path(root, version + 1, name)
-        )
-    commit = spark.range(1).select(
-        F.lit(version + 1).alias("version"), F.current_timestamp().alias("committed_at")
-    )
-    append_rows(commit, f"{root}/{_LOG}")
+        place = locations.get(name)
+        stored = None if place is None else read_if_present(spark, f"{root}/{place}")
+        new = f"version={version + 1:08d}/{name}"
+        merged_relation(stored, rows, name).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{root}/{new}")
+        locations[name] = new
+    commit = spark.createDataFrame(
+        [(version + 1, locations)], "version long, locations map<string, string>")
+    append_rows(commit.withColumn("committed_at", F.current_timestamp()), f"{root}/{_LOG}")
     return version + 1
+
+
+def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete relation folders that none of the newest ``keep`` commits points to."""
+    log = read_if_present(spark, f"{root}/{_LOG}", T.DataType.fromDDL(_COMMIT))
+    if log is None:
+        return []
+    recent = log.orderBy(F.desc("version")).limit(keep).collect()
+    wanted = {place for row in recent for place in row.locations.values()}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    removed = []
+    for version in system.listStatus(folder):
+        if not version.getPath().getName().startswith("version="):
+            continue
+        for relation in system.listStatus(version.getPath()):
+            place = f"{version.getPath().getName()}/{relation.getPath().getName()}"
+            if place not in wanted:
+                system.delete(relation.getPath(), True)
+                removed.append(place)
+    return sorted(removed)

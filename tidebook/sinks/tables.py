@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import time
 from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators.merging import dedupe_latest, lookback_filter, merge_rows
+from ..operators.merging import LOOKBACK_DAYS, dedupe_latest, merge_rows
 from ..operators.quality import check_not_null, check_unique, require
 
 log = logging.getLogger(__name__)
@@ -39,6 +42,46 @@ def read_if_present(
         raise
 
 
+def partition_days(spark: SparkSession, path: str, column: str = PARTITION_COLUMN) -> list[str]:
+    """Values of the partition column, from the names of the folders: no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def _columns_path(path: str) -> str:
+    return f"{path}/_columns"
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A partitioned table with every column it ever got, or None before the first write.
+
+    The columns are kept beside the data, so no footer has to be opened to merge schemas.
+    """
+    if not partition_days(spark, path):
+        return None
+    kept = read_if_present(
+        spark, _columns_path(path), T.StructType([T.StructField("schema", T.StringType()),
+                                                  T.StructField("version", T.LongType())]))
+    row = None if kept is None else kept.orderBy(F.desc("version")).first()
+    if row is None:  # written by other means: all footers have to tell
+        return read_if_present(spark, path)
+    return spark.read.schema(T.StructType.fromJson(json.loads(row.schema))).parquet(path)
+
+
+def _keep_columns(before: DataFrame | None, written: DataFrame, path: str) -> None:
+    """Note the table's columns when they changed."""
+    if before is not None and set(before.columns) == set(written.columns):
+        return
+    spark = written.sparkSession
+    row = (json.dumps(written.schema.jsonValue()), time.time_ns())
+    spark.createDataFrame([row], "schema string, version long").coalesce(1).write.mode(
+        "append").parquet(_columns_path(path))
+
+
 def rebuild(df: DataFrame, path: str) -> int:
     """Replace a whole table and return its number of rows.
 
@@ -58,8 +101,18 @@ def by_partition(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
     return df.hint("rebalance", F.col(column))
 
 
-def reload_landing(df: DataFrame, path: str, table: str) -> int:
-    """Truncate and reload a landing table; keys of the reference tables are enforced first."""
+def reload_landing(df: DataFrame, path: str, table: str, catalog_name: str | None = None) -> int:
+    """Truncate and reload a landing table; keys of the reference tables are enforced first.
+
+    With a catalog name the table is published under it and its statistics are taken.
+    """
+    loaded = _reload(df, path, table)
+    if catalog_name:
+        publish(df.sparkSession, catalog_name, path)
+    return loaded
+
+
+def _reload(df: DataFrame, path: str, table: str) -> int:
     typed = df.select(*schemas.LANDING_TABLES[table])
     key = {"securities": "security_id", "accounts": "account_id"}.get(table)
     if key:
@@ -92,13 +145,16 @@ def upsert_partitions(
 
     The key must fix the partition, as a key that contains the date does. The first run writes
     everything. Columns new in the source are appended; in partitions that are not touched
-    they read as NULL. Replacing partitions is one job commit, and running it again with the
-    same source changes nothing. ``touched`` may name a cheaper DataFrame that has at least
-    the source's partition values.
+    they read as NULL. Running it again with the same source changes nothing. A run that dies
+    while the job is committed can leave a partition without rows the source doesn't bring;
+    keep the source's full partitions, or a copy of the table, until it has returned.
+    ``touched`` may name a cheaper DataFrame that has at least the source's partition values.
     """
-    target = read_if_present(source.sparkSession, path)
+    target = read_table(source.sparkSession, path)
     rows = source if order_by is None else dedupe_latest(source, keys, order_by)
     if target is not None:
+        if not partition_days(source.sparkSession, path, partition):
+            raise ValueError(f"{path} is not partitioned by {partition}")
         # The values of the partition column are few (days) and become a literal filter, so
         # files of other partitions are not even listed for the scan.
         found = (source if touched is None else touched).select(partition).distinct()
@@ -113,6 +169,7 @@ def upsert_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
+    _keep_columns(target, rows, path)
     return seen.get["rows"]
 
 
@@ -126,16 +183,23 @@ def incremental_build(
 ) -> int:
     """Build ``model`` over the positions the target has not settled yet, then upsert it.
 
-    The first run takes everything; later runs only days within the look-back. The model adds
-    columns to positions and must not multiply them: copies of a position are removed before
-    it, while the rows are narrow.
+    The first run takes everything; later runs only days within the look-back, counted from the
+    newest partition. The model adds columns to positions and must not multiply them: copies of
+    a position are removed before it, while the rows are narrow, and their number is logged.
     """
-    target = read_if_present(positions.sparkSession, path)
-    fresh = positions if target is None else lookback_filter(positions, target, partition)
-    unique = dedupe_latest(fresh, keys, order_by)
-    return upsert_partitions(
-        model(unique), path, keys, None, partition, touched=fresh.select(partition)
-    )
+    days = partition_days(positions.sparkSession, path, partition)
+    fresh = positions
+    if days:
+        first = date.fromisoformat(days[-1]) - timedelta(days=LOOKBACK_DAYS)
+        fresh = positions.where(F.col(partition) >= F.lit(first))
+    read, arrived = counted(fresh)
+    unique, kept = counted(dedupe_latest(read, keys, order_by))
+    written = upsert_partitions(
+        model(unique), path, keys, None, partition, touched=fresh.select(partition))
+    copies = arrived.get["rows"] - kept.get["rows"]
+    if copies:
+        log.warning("%s: %d copies of positions left out", path, copies)
+    return written
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -148,6 +212,16 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
 
 
+def publish(spark: SparkSession, name: str, path: str) -> None:
+    """A catalog table over the files at ``path``, with fresh statistics."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if spark.catalog.listColumns(name) and any(
+            c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
+    analyze(spark, name)
+
+
 def analyze(spark: SparkSession, name: str) -> None:
     """Statistics of a catalog table for the cost-based optimizer."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
@@ -181,9 +255,3 @@ def write_run_file(stats: DataFrame, pods: DataFrame, pod_size: str, path: str)
     if not seen.get["rows"]:
         log.warning("%s: no statistics matched the run", path)
     return seen.get["rows"]
-
-
-def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
-    """Rows to a database in batches."""
-    options = {"url": url, "dbtable": table, "batchsize": "10000", **properties}
-    df.write.format("jdbc").options(**options).mode("append").save()

@@ -444,11 +444,30 @@ def feed_rejects(t):
     )
 
 
-@query("synth_positions")
+@query("synth_positions", """
+SELECT true AS consistent, count(*) AS n_rows FROM lineitem""")
 def synth_positions(t):
-    """A synthetic position per order line; random draws have no twin in SQL."""
+    """A synthetic position per order line; the rules between its drawn columns are checked."""
     ids = t.lineitem.select(F.xxhash64(*t.lineitem.columns).alias("id"))
-    return synthetic.positions(ids, n_securities=50_000, n_accounts=10_000)
+    drawn = synthetic.positions(ids, n_securities=50_000, n_accounts=10_000)
+    key = F.concat_ws("|", F.col("as_of_date").cast("string"), "account_id", "security_id")
+    account = F.regexp_extract("account_id", r"^ACCT(\d{7})$", 1).try_cast("int")
+    security = F.regexp_extract("security_id", r"^SEC(\d{8})$", 1).try_cast("int")
+    near = F.lit(0.0101)
+    consistent = (
+        (F.col("position_hash") == key) & account.between(0, 9_999) & security.between(0, 49_999)
+        & F.weekday("as_of_date").between(0, 4) & (F.col("quantity") >= 0)
+        & (F.col("unit_price") >= F.lit(0.01).cast("decimal(4,2)"))
+        & (F.abs(F.col("cost_basis") - F.col("quantity") * F.col("unit_cost")) <= near)
+        & (F.abs(F.col("market_value") - F.col("quantity") * F.col("unit_price")) <= near)
+        & (F.col("unrealized_gl") == F.col("market_value") - F.col("cost_basis"))
+        & F.coalesce(F.col("accrued_income").between(
+            0, F.col("market_value").cast("double") * 0.005 + 0.01), F.lit(True))
+        & F.col("fx_rate").between(0.8, 1.5)
+        & F.col("settlement_status").isin(*schemas.SETTLEMENT_STATUSES)
+        & F.col("source_system").isNotNull()
+    )
+    return drawn.groupBy(consistent.alias("consistent")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("synth_securities", """
@@ -471,7 +490,19 @@ def synth_securities(t):
 @query("synth_accounts", """
 SELECT 'ACCT' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS account_id,
        'Client Account ' || c_custkey AS account_name,
-       'CLT' || lpad(CAST(c_custkey // 10 AS VARCHAR), 6, '0') AS client_id FROM customer""")
+       'CLT' || lpad(CAST(c_custkey // 10 AS VARCHAR), 6, '0') AS client_id,
+       true AS consistent FROM customer""")
 def synth_accounts(t):
+    """A synthetic account per customer; the drawn columns are checked against their domains."""
     drawn = synthetic.accounts(t.customer.select(F.col("c_custkey").alias("id")))
-    return drawn.select("account_id", "account_name", "client_id")
+    consistent = (
+        F.col("account_type").isin(*synthetic.ACCOUNT_TYPES)
+        & F.col("base_currency").isin(*synthetic.BASE_CURRENCIES)
+        & F.col("domicile_country").isin(*synthetic.COUNTRIES)
+        & F.col("inception_date").between("2010-01-01", "2023-09-09")
+        & F.regexp_extract("portfolio_manager", r"^PM(\d{4})$", 1).cast("int").between(1, 200)
+        & F.col("is_discretionary").isin("True", "False")
+        & F.col("aum_tier").isin(*synthetic.AUM_TIERS)
+    )
+    return drawn.select("account_id", "account_name", "client_id",
+                        consistent.alias("consistent"))

@@ -6,12 +6,18 @@ from pyspark.sql import functions as F
 
 from ..operators import merging, quality
 from ..operators.enrichment import enrich_positions
+from ..plans.interfaces import interface_rows
 from ..schemas import ASSET_CLASSES
+from ..sinks.bundles import merged_relation
 from . import bindings as b
 from . import sql as q
 from .registry import query
 
 
+#: Positions of accounts that end in 7 arrive late.
+_LATE_SQL = "(SELECT *, right(account_id, 1) = '7' AS late FROM enriched) e"
+
+
 @query("dq_unique", q.with_tables(q.POSITIONS_RAW, select="""
 SELECT position_hash, count(*) AS n_rows FROM positions
 GROUP BY position_hash HAVING count(*) > 1"""))
@@ -107,9 +113,17 @@ def incremental_lookback(t):
 @query("silver_incremental", q.with_tables(*q.STAR, select="""
 SELECT position_hash, as_of_date, CAST(max(market_value) AS DOUBLE) AS market_value,
        count(DISTINCT asset_class) AS asset_classes
-FROM enriched GROUP BY position_hash, as_of_date"""))
+FROM enriched
+WHERE NOT late OR as_of_date >= (SELECT max(as_of_date) - 3 FROM enriched
+                                 WHERE as_of_date < DATE '1997-07-01' AND NOT late)
+   OR as_of_date >= DATE '1997-07-01'
+GROUP BY position_hash, as_of_date""".replace("FROM enriched", f"FROM {_LATE_SQL}")))
 def silver_incremental(t):
-    """The silver table after loading up to mid 1997 and then everything since the look-back."""
+    """The silver table after loading up to mid 1997 and then everything since the look-back.
+
+    The positions of accounts that end in 7 come late: those within the look-back are still taken, older
+    ones are not.
+    """
     securities, accounts = b.staged_securities(t), b.staged_accounts(t)
     highest = [F.col("market_value").desc()]
 
@@ -118,7 +132,8 @@ def silver_incremental(t):
         return enrich_positions(unique, securities, accounts)
 
     positions = b.staged_positions(t)
-    first = positions.where(F.col("as_of_date") < "1997-07-01")
+    late = F.right("account_id", F.lit(1)) == "7"
+    first = positions.where((F.col("as_of_date") < "1997-07-01") & ~late)
     fresh = merging.lookback_filter(positions, first, "as_of_date")
     merged = merging.merge_rows(
         silver(first), silver(fresh), ["as_of_date", "position_hash"]
@@ -195,3 +210,50 @@ def upsert_protected(t):
         "account_id", "order_id", "priority", "total"
     )
     return merging.merge_rows(stored, arrived, ["account_id"], protect=["priority"])
+
+
+@query("bundle_last_wins", """
+SELECT 'i' || o_custkey AS interface_id, arg_max(o_orderpriority, o_orderkey) AS source_system,
+       arg_max(o_orderstatus, o_orderkey) AS notes, max(o_orderkey) AS n_last
+FROM orders GROUP BY o_custkey""")
+def bundle_last_wins(t):
+    """An interface per customer, listed once for each order: the newest order's row stays."""
+    listed = t.orders.select(
+        F.concat(F.lit("i"), F.col("o_custkey").cast("string")).alias("interface_id"),
+        F.col("o_orderpriority").alias("source_system"),
+        F.col("o_orderstatus").alias("notes"), F.col("o_orderkey").alias("ordinal"),
+        F.col("o_orderkey").cast("string").alias("type_app_extract"),
+    )
+    rows = interface_rows(listed)
+    merged = merged_relation(None, rows, "interface360_interfaces")
+    return merged.select("interface_id", "source_system", "notes",
+                         F.col("type_app_extract").cast("bigint").alias("n_last"))
+
+
+@query("fields_merged", """
+WITH body AS (
+  SELECT o_custkey, max(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
+stored AS (
+  SELECT o_custkey, max(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+latest AS (
+  SELECT o_custkey, max(o_orderkey) AS k FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1)
+SELECT 'e' || o_custkey AS endpoint_key, 'f' AS field_name,
+       't' || coalesce(latest.k, stored.k) AS data_type,
+       coalesce(body.k, stored.k) AS max_length
+FROM latest FULL JOIN stored USING (o_custkey) LEFT JOIN body USING (o_custkey)""")
+def fields_merged(t):
+    """A field per customer: open orders are body fields, finished ones parameters without a
+    length, and pending ones are stored already."""
+    rows = t.orders.select(
+        F.concat(F.lit("e"), F.col("o_custkey").cast("string")).alias("endpoint_key"),
+        F.lit("f").alias("field_name"),
+        F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("data_type"),
+        F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey")).alias("max_length"),
+        F.when(F.col("o_orderstatus") == "F", F.array(F.lit("max_length")))
+        .otherwise(F.array().cast("array<string>")).alias("absent"),
+        F.col("o_orderkey").alias("ordinal"), "o_orderstatus",
+    )
+    pending = rows.where("o_orderstatus = 'P'").drop("o_orderstatus")
+    stored = merged_relation(None, pending, "api_fields")
+    arrived = rows.where("o_orderstatus <> 'P'").drop("o_orderstatus")
+    return merged_relation(stored, arrived, "api_fields")

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-#: Load and build times differ from run to run, and ``ordinal`` only orders rows for an
-#: upsert: neither is part of a compared result.
-LEFT_OUT = ("dbt_loaded_at", "dbt_updated_at", "dbt_built_at", "ordinal")
+#: Load and build times differ from run to run, ``ordinal`` and ``absent`` only tell an upsert how
+#: to merge rows: none is part of a compared result.
+LEFT_OUT = ("dbt_loaded_at", "dbt_updated_at", "dbt_built_at", "ordinal", "absent")
 
 
 #: Read schemas of the test tables: no job has to look into the files for them.
