@@ -10,6 +10,7 @@ from ..functions import text as x
 from ..functions.projects import ProjectRules
 from ..functions.values import cut, first_filled, once
 from ..operators.sequences import latest_before
+from ..session import checkpointed
 
 NAME_LENGTH, ENDPOINT_LENGTH, DESCRIPTION_LENGTH = 256, 520, 2000
 #: Steps of one flow that are looked at together when setters are searched.
@@ -63,25 +64,24 @@ def flow_requests(corpus: DataFrame) -> DataFrame:
     """Requests of the readable collections, numbered depth first across nested folders.
 
     Each round opens one level of folders in all documents at once; the loop ends when no
-    document has a folder left, so it takes as many rounds as the deepest nesting. A request
-    is ordered by its positions along the way, and only requests of one document are sorted
-    together.
+    document has a folder left, so it takes as many rounds as the deepest nesting. Requests found
+    are set aside, and every level is written to the shared folder (see ``checkpointed``), so an
+    entry is parsed once and the rounds only read folders that are still closed. A request is
+    ordered by its positions along the way, and only requests of one document are sorted together.
     """
     parse = F.from_json("text", schemas.COLLECTION_ITEM)
     top = _documents(corpus).select(
         "path", "flow_key", F.posexplode("items").alias("position", "text")
     )
-    nodes = _entries(top.withColumn("at", F.array("position")), parse)
+    level = checkpointed(_entries(top.withColumn("at", F.array("position")), parse))
     folder = F.col("entry.item").isNotNull()
-    while not nodes.where(folder).isEmpty():
-        # Requests pass through a round as they are; an empty folder leaves nothing behind.
-        opened = nodes.select(
-            "*", F.posexplode_outer("entry.item").alias("position", "text")
-        ).where(~folder | F.col("text").isNotNull())
-        deeper = F.when(folder, F.concat("at", F.array("position"))).otherwise(F.col("at"))
-        nodes = _entries(
-            opened.withColumn("at", deeper), F.when(folder, parse).otherwise(F.col("entry"))
-        )
+    nodes, folders = level.where(~folder), level.where(folder)
+    while not folders.isEmpty():
+        opened = folders.select(
+            "path", "flow_key", "at", F.posexplode("entry.item").alias("position", "text"))
+        deeper = F.concat("at", F.array("position"))
+        level = checkpointed(_entries(opened.withColumn("at", deeper), parse))
+        nodes, folders = nodes.union(level.where(~folder)), level.where(folder)
     in_order = Window.partitionBy("path").orderBy("at")
     return nodes.select(
         "path", "flow_key", F.row_number().over(in_order).cast("bigint").alias("step_order"),

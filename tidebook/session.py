@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes one shuffle partition should hold; AQE merges smaller ones.
@@ -53,13 +55,14 @@ def build_session(
 def checkpointed(df: DataFrame) -> DataFrame:
     """The same rows written once to the shared folder the cluster names for checkpoints.
 
-    Used where several relations come from one expensive parse. A session that names no folder
-    gets ``df`` back and parses again for each relation.
+    Used where several relations come from one expensive parse. They are a Parquet table there:
+    one pass writes it, readers take only the columns they need, and a lost executor costs a
+    re-read. A session that names no folder gets ``df`` back and parses again for each relation.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{folder.rstrip('/')}/tables/{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
