@@ -9,8 +9,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.text import file_stem
-from ..functions.values import blank_to_null, strip
-from .tables import CSV_COMMA
+from ..functions.values import blank_to_null, once, strip
 
 POD_ROWS = T.StructType(
     [T.StructField("model_name", T.StringType()), *schemas.POD_METRICS.fields]
@@ -35,14 +34,20 @@ def run_by_parameter(spark: SparkSession, view: str, run_id: str) -> DataFrame:
     )
 
 
-def _cells(line: Column) -> Column:
-    """Cells of one CSV line, unquoted."""
-    return F.transform(
-        F.split(line, CSV_COMMA),
-        lambda c: F.replace(
-            F.regexp_replace(strip(c), r'^"([\s\S]*)"$', "$1"), F.lit('""'), F.lit('"')
-        ),
-    )
+#: Cells of a line that are read; a run file has a few dozen columns.
+MAX_CELLS = 64
+#: A line end that is not inside double quotes. A run file is small: one row per model.
+LINE_END = r'\R(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_CELLS = ", ".join(f"c{i} string" for i in range(MAX_CELLS))
+
+
+def _with_cells(rows: DataFrame, line: Column, name: str) -> DataFrame:
+    """Cells of one record as Spark's CSV parser reads it; empty ones are NULL."""
+    record = F.from_csv(line, _CELLS, {
+        "mode": "PERMISSIVE", "quote": '"', "escape": '"', "maxColumns": str(MAX_CELLS + 1),
+        "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    cells = F.array(*[F.col(f"_record.c{i}") for i in range(MAX_CELLS)])
+    return once(once(rows, record, "_record"), cells, name).drop("_record")
 
 
 def _read_as(text: Column, dtype: T.DataType) -> Column:
@@ -53,27 +58,46 @@ def _read_as(text: Column, dtype: T.DataType) -> Column:
     return text.try_cast(dtype)
 
 
+def _records(files: DataFrame, column: str) -> DataFrame:
+    """Records of whole run files with their file's header, and whether they fit it."""
+    lines = files.select(
+        F.filter(F.split(column, LINE_END), lambda line: strip(line) != "").alias("lines")
+    ).where(F.size("lines") > 1)
+    headed = _with_cells(lines, F.get("lines", F.lit(0)), "names")
+    # Names end with the last filled cell; of a name given twice the last column counts.
+    width = F.array_max(F.transform(
+        "names", lambda n, i: F.when(n.isNotNull(), i + 1).otherwise(0)))
+    rows = headed.select(
+        F.slice("names", F.lit(1), width).alias("header"),
+        F.explode(F.slice("lines", F.lit(2), F.size("lines") - 1)).alias("line"))
+    parsed = _with_cells(rows, F.col("line"), "cells")
+    over = F.exists(
+        F.slice("cells", F.size("header") + 1, F.lit(MAX_CELLS)), lambda c: c.isNotNull())
+    return parsed.withColumn("fits", ~over)
+
+
+def run_file_rejects(files: DataFrame, column: str = "value") -> DataFrame:
+    """Records with a filled cell beyond their file's header; they add no rows."""
+    return _records(files, column).where(~F.col("fits")).select(F.col("line").alias("record"))
+
+
 def parse_run_files(files: DataFrame, column: str = "value") -> DataFrame:
     """Whole run files, one per row, as one table matched by column name.
 
     Every file brings its own header, so column order and columns a file lacks do not matter.
-    Columns outside the contract are kept as text in ``other_columns``.
+    Columns outside the contract are kept as text in ``other_columns``. Quoted cells may hold
+    commas, quotes and line ends. Records that do not fit the header are left to
+    ``run_file_rejects``.
     """
-    lines = files.select(
-        F.filter(F.split(column, r"\R"), lambda line: strip(line) != "").alias("lines")
-    ).where(F.size("lines") > 1)
-    rows = lines.select(
-        _cells(F.get("lines", F.lit(0))).alias("header"),
-        F.explode(F.slice("lines", F.lit(2), F.size("lines") - 1)).alias("line"),
-    ).withColumn("cells", _cells(F.col("line")))
-    row = rows.where(F.size("cells") <= F.size("header")).select(
-        F.map_from_arrays(
-            "header",
-            F.concat("cells", F.array_repeat(
-                F.lit(None).cast("string"), F.size("header") - F.size("cells")
-            )),
-        ).alias("row")
-    )
+    fitting = _records(files, column).where("fits")
+    entries = F.filter(
+        F.arrays_zip(F.col("header").alias("name"),
+                     F.slice("cells", F.lit(1), F.size("header")).alias("value")),
+        lambda e: e["name"].isNotNull())
+    last_of_name = F.filter("entries", lambda e, i: ~F.exists(
+        F.slice("entries", i + 2, F.lit(MAX_CELLS)), lambda later: later["name"] == e["name"]))
+    named = once(fitting, entries, "entries")
+    row = once(named, F.map_from_entries(last_of_name), "row").select("row")
     known = [
         _read_as(F.try_element_at("row", F.lit(f.name)), f.dataType).alias(f.name)
         for f in schemas.RUN_FILE.fields

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import catalog_views, runstats
 from ..operators.sequences import latest_before, number_within
 from ..plans.collections import flow_dependencies
-from ..sources.runs import parse_run_files
+from ..sources.runs import parse_run_files, run_file_rejects
 from . import bindings as b
 from . import sql as q
 from .registry import query
@@ -269,12 +269,12 @@ def union_by_name(t):
     return runstats.union_runs([first, second])
 
 
-@query("run_files", _stats_sql("""
-SELECT run_id, model_name, materialization, pod_size, rows_processed,
-       CASE WHEN parallel_degree = 4 THEN elapsed_seconds END AS elapsed_seconds,
-       CASE WHEN parallel_degree <> 4 THEN dbt_threads END AS dbt_threads FROM stats"""))
-def run_files(t):
-    """Statistics written as one CSV text per run, in two column layouts, and read back."""
+def _run_files(t):
+    """Statistics written as one CSV text per run, in two column layouts.
+
+    Names are quoted and hold a comma, a quote and a line end; in one layout the records whose
+    number of rows is a multiple of five have a cell too many.
+    """
     layouts = {
         True: ["run_id", "elapsed_seconds", "model_name", "pod_size", "rows_processed",
                "materialization"],
@@ -284,23 +284,43 @@ def run_files(t):
     first = F.col("parallel_degree") == 4
 
     def cell(c: str):
+        if c == "model_name":
+            return F.concat(F.lit('"a, ""b""\n'), F.col(c), F.lit('"'))
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
     lines = b.run_stats(t).select(
         "run_id", first.alias("first"),
         F.when(first, F.concat_ws(",", *map(cell, layouts[True])))
-        .otherwise(F.concat_ws(",", *map(cell, layouts[False]))).alias("line"),
+        .otherwise(F.concat(F.concat_ws(",", *map(cell, layouts[False])),
+                            F.when(F.col("rows_processed") % 5 == 0, ",extra").otherwise(""))).alias("line"),
     )
     # A run has one line per model.
     files = lines.groupBy("run_id", "first").agg(F.sort_array(F.collect_list("line")).alias("lines"))
     header = F.when(F.col("first"), ",".join(layouts[True])).otherwise(",".join(layouts[False]))
-    text = files.select(F.concat_ws("\n", header, "lines").alias("value"))
-    return parse_run_files(text).select(
+    return files.select(F.concat_ws("\n", header, "lines").alias("value"))
+
+
+@query("run_files", _stats_sql("""
+SELECT run_id, 'a, "b"' || chr(10) || model_name AS model_name, materialization, pod_size,
+       rows_processed, CASE WHEN parallel_degree = 4 THEN elapsed_seconds END AS elapsed_seconds,
+       CASE WHEN parallel_degree <> 4 THEN dbt_threads END AS dbt_threads FROM stats
+WHERE parallel_degree = 4 OR coalesce(rows_processed % 5, 1) <> 0"""))
+def run_files(t):
+    return parse_run_files(_run_files(t)).select(
         "run_id", "model_name", "materialization", "pod_size", "rows_processed",
         "elapsed_seconds", "dbt_threads",
     )
 
 
+@query("run_file_rejects", _stats_sql("""
+SELECT coalesce(pod_size, '') AS pod_size, count(*) AS n_records FROM stats
+WHERE parallel_degree <> 4 AND rows_processed % 5 = 0 GROUP BY 1"""))
+def run_file_rejects_(t):
+    record = F.regexp_extract("record", r",([^,]*),extra$", 1).alias("pod_size")
+    return run_file_rejects(_run_files(t)).groupBy(record).agg(
+        F.count(F.lit(1)).alias("n_records"))
+
+
 @query("flows_nested_steps", """
 WITH steps AS (
   SELECT conv_id, turn, (turn) // 3 AS page,
