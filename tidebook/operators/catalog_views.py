@@ -13,7 +13,13 @@ from ..functions.text import label_method, label_without_method
 STEPS_PER_PAGE = 500
 
 
-def by_project(df: DataFrame, project: str, groups: Collection[str] = ("all",)) -> DataFrame:
+#: Names of project groups, which select without an id.
+PROJECT_GROUPS = ("all", "sei", "non-sei")
+
+
+def by_project(
+    df: DataFrame, project: str, groups: Collection[str] = PROJECT_GROUPS
+) -> DataFrame:
     """Rows of one project; a group name asks for every project."""
     return df if project in groups else df.where(F.col("project_id") == project)
 
