@@ -130,3 +130,36 @@ def test_checkpoint_uses_the_folder_the_session_names(spark):
     cut = checkpointed(spark.range(5).selectExpr("id * 2 AS id"))
     assert "Range" not in plan_of(cut) and cut.count() == 5
     assert any(folder.rglob("part-*"))
+
+
+def test_exposure_copies_no_rows_and_lineage_joins_once(spark):
+    from compare import DATA
+
+    from tidebook.workload import load
+
+    queries, folder = load().QUERIES, f"{DATA}/sf0.001"
+    assert "Expand" not in plan_of(queries["exposure_by_asset_class"](spark, folder))
+    lineage = plan_of(queries["lineage_resolve"](spark, folder))
+    assert lineage.count("FileScan") <= 2 and lineage.count("Join") == 1
+
+
+def test_silver_is_read_with_its_known_columns(spark, tmp_path, monkeypatch):
+    from tidebook.sinks import tables
+
+    path = str(tmp_path / "t")
+    first = spark.sql("select date'2025-01-01' as as_of_date, 1 as id, 'a' as v")
+    tables.upsert_partitions(first, path, ["as_of_date", "id"], None)
+    more = spark.sql("select date'2025-01-02' as as_of_date, 2 as id, 'b' as v, 7 as extra")
+    tables.upsert_partitions(more, path, ["as_of_date", "id"], None)
+    monkeypatch.setattr(tables, "read_if_present", _only_with_schema(tables.read_if_present))
+    back = tables.read_table(spark, path)
+    assert {(r.id, r.v, r.extra) for r in back.collect()} == {(1, "a", None), (2, "b", 7)}
+    assert tables.partition_days(spark, path) == ["2025-01-01", "2025-01-02"]
+
+
+def _only_with_schema(read):
+    def checked(spark, path, schema=None):
+        assert schema is not None, "schemas of all files are merged"
+        return read(spark, path, schema)
+
+    return checked
