@@ -7,7 +7,7 @@ comes near is checked word by word: the longest common subsequence must cover mo
 most of its answer, its last sentence, so rephrased copies count and shared topics don't.
 
 The decomposition never holds the passage matrix: tasks multiply their rows with a random test
-matrix and back, and the products, one row per term, are summed in a shuffle.
+matrix and back, and the products, one row per term and task, are summed after a shuffle.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ from tidebook.llm.registry import query, table
 from tidebook.llm.tfidf import BREAKS, document_counts, positions
 from tidebook.llm.words import Words, lowered, words
 
-#: Items indexed together; dimensions of the space, and spare ones while it is sought.
-BLOCK, RANK, SPARE = 2048, 96, 16
+#: Items indexed together, and spare dimensions while their space is sought. The space has a
+#: dimension for each item of a block: with fewer, items blur into one another, and common words
+#: alone bring windows near.
+BLOCK, SPARE = 512, 16
 #: Words of half a window; a window is two neighbouring halves.
 HALF = 32
 #: Least cosine of a candidate, least length of its projection on the item (a window that holds
@@ -76,8 +78,21 @@ def _products(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBa
         ["term", "row"])
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per term of a partition, the sum of its rows."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        rows = batch.column("row")
+        values = rows.flatten().to_numpy().reshape(len(rows), -1) if len(rows) else []
+        for term, row in zip(batch.column("term").to_pylist(), values, strict=True):
+            total[term] = total[term] + row if term in total else row
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.list_(pa.float64()))],
+        ["term", "row"])
+
+
 def latent_space(passages: DataFrame, terms: np.ndarray, weights: np.ndarray,
-                 rank: int = RANK, rounds: int = 3) -> np.ndarray:
+                 rank: int, rounds: int = 3) -> np.ndarray:
     """Right singular vectors (terms, rank) of the TF-IDF matrix of ``passages(text)``.
 
     Subspace iteration on A'A from a random start; a round is one pass over the passages and a
@@ -90,7 +105,7 @@ def latent_space(passages: DataFrame, terms: np.ndarray, weights: np.ndarray,
         shared = context.broadcast((terms, weights, np.linalg.qr(x)[0]))
         rows = passages.select("text").mapInArrow(
             lambda b, s=shared: _products(b, s), "term int, row array<double>"
-        ).groupBy("term").agg(F.array(*[F.sum(F.col("row")[k]) for k in range(width)]).alias("row"))
+        ).repartition("term").mapInArrow(_summed, "term int, row array<double>")
         x = np.zeros((len(terms), width))
         for r in rows.toLocalIterator():  # a row per word of the block
             x[r.term] = r.row
@@ -187,7 +202,7 @@ def _search(batches: Iterator[pa.RecordBatch], shared, cosine: float, share: flo
 FOUND = "doc_id long, item_id long, cosine double, covered double, answered double"
 
 
-def build_index(docs: DataFrame, rows: list, rank: int = RANK) -> Index | None:
+def build_index(docs: DataFrame, rows: list) -> Index | None:
     """The index of a block of items ``(item_id, text)``; None if none has a word."""
     def hashed(texts: list[str]) -> list[np.ndarray]:
         found = words(lowered(pa.array(texts, pa.string())), BREAKS)
@@ -205,7 +220,7 @@ def build_index(docs: DataFrame, rows: list, rank: int = RANK) -> Index | None:
     counts, total = document_counts(docs, terms)
     weights = np.log((1 + total) / (1 + counts)) + 1e-3
     passages = docs.sparkSession.createDataFrame([(texts[i],) for i in kept], "text string")
-    space = latent_space(passages, terms, weights, rank)
+    space = latent_space(passages, terms, weights, min(len(kept), len(terms)))
     vectors = np.stack([
         row @ space[own] for own, row in _passage_rows(
             pa.array([texts[i] for i in kept], pa.string()), terms, weights)])
