@@ -4,10 +4,11 @@ Every permutation of a document's shingles gives two signature values, the small
 largest hash, so half the hash evaluations make a signature of the same length. Bands of values
 propose pairs; every pair that links is confirmed on the full shingle sets.
 
-Only connectivity is wanted, so not all pairs of a bucket are made: a few documents of a bucket
-(stars) are compared with the rest of it, and the number of stars grows until every document
-outside the bucket's largest component has been a star. No two documents that share a band and
-may still be unconnected are left uncompared, and no bucket is gathered in one task.
+Only connectivity is wanted, so not all pairs of a bucket are made. First the most central document
+of a bucket (the star) is compared with the rest of it, then the most central of those that stay
+outside the bucket's largest component. What may still be unconnected is compared exactly but
+sparsely: two sets as similar as asked must share one of their rarest shingles, so only documents
+that do and lie in different components meet. No bucket is gathered in one task.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from tidebook.llm.words import mixed, shingle_sets, words
 #: 0.8 with probability 3e-5.
 BANDS, ROWS = 20, 4
 
+#: Slots by which shingles are counted to order them from rare to common.
+ORDER = 1 << 16
+
 SIGNATURE = "doc_id long, n_shingles long, class binary, bands array<long>"
 
 
@@ -99,6 +103,37 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "a", "b", (100 * F.col("shared") >= percent * union).alias("linked"))
 
 
+def _prefixes(batches: Iterator[pa.RecordBatch], shared, percent: int):
+    """Of each set the rarest shingles, one of which any similar set has, and how common they are.
+
+    The order of shingles is that of the counts of their slots; any fixed order is exact.
+    """
+    counts = shared.value
+    for batch in batches:
+        prefixes, central = [], []
+        column = batch.column("shingles")
+        flat, at = column.flatten().to_numpy(), column.offsets.to_numpy()
+        for a, b in zip((at - at[0])[:-1], (at - at[0])[1:], strict=True):
+            values = flat[a:b]
+            often = counts[values % ORDER]
+            size = len(values) - (percent * len(values) + 99) // 100 + 1
+            order = np.lexsort((values, often))[:size]
+            prefixes.append(values[order])
+            central.append(float(often[order].mean()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("class"), pa.array(central, pa.float64()),
+             pa.array(prefixes, pa.list_(pa.int64()))], ["class", "central", "prefix"])
+
+
+def _by_main(placed: DataFrame, key: str) -> DataFrame:
+    """Rows of groups with more than one root, with the root most of the group's rows have."""
+    sizes = placed.groupBy(key, "root").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy(key).agg(
+        F.max(F.struct("c", "root")).alias("main"), F.count(F.lit(1)).alias("roots")
+    ).where("roots > 1").select(key, F.col("main.root").alias("main"))
+    return placed.join(main.hint("merge"), key)
+
+
 def near_copies(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``.
 
@@ -127,30 +162,50 @@ def near_copies(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
         lambda b: _batches(b, size, True), "class binary, shingles array<long>")
     sets = stages.write(sets.dropDuplicates(["class"]), "sets")
 
-    labels = members.select(F.col("class").alias("node"), F.col("class").alias("root")).limit(0)
-    links = tested = None  # confirmed pairs, and all pairs compared so far
-    first, stars = True, 1
-    while True:
-        placed = stages.write(
-            members.join(labels.withColumnRenamed("node", "class").hint("merge"), "class", "left")
-            .withColumn("root", F.coalesce("root", "class")), "placed")
-        sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"))
-        main = sizes.groupBy("bucket").agg(
-            F.max(F.struct("c", "root")).alias("main"), F.count(F.lit(1)).alias("roots")
-        ).where("roots > 1").select("bucket", F.col("main.root").alias("main"))
-        unsure = placed.join(main.hint("merge"), "bucket")
+    counts = np.zeros(ORDER, dtype=np.int64)
+    slot = F.explode(F.transform("shingles", lambda x: F.pmod(x, F.lit(ORDER)))).alias("slot")
+    for r in sets.select(slot).groupBy("slot").count().collect():  # at most ORDER rows
+        counts[r["slot"]] = r["count"]
+    shared_counts = docs.sparkSession.sparkContext.broadcast(counts)
+    rare = stages.write(sets.mapInArrow(
+        lambda b: _prefixes(b, shared_counts, percent),
+        "class binary, central double, prefix array<long>"), "prefixes")
+    members = stages.write(
+        members.join(rare.select("class", "central").hint("merge"), "class"), "placed")
+
+    links = tested = labels = None  # confirmed pairs, all pairs compared, (node, root)
+
+    def rooted(rows: DataFrame) -> DataFrame:
+        if labels is None:
+            return rows.withColumn("root", F.col("class"))
+        own = labels.withColumnRenamed("node", "class")
+        return rows.join(own.hint("merge"), "class", "left").withColumn(
+            "root", F.coalesce("root", "class"))
+
+    for step in ("star", "second star", "rest"):
+        placed = rooted(members)
+        if step == "rest":
+            # Documents that share a bucket with another component, by their rarest shingles.
+            mixed_up = _by_main(placed, "bucket").select("class", "n", "root").distinct()
+            prefixes = mixed_up.join(rare.select("class", "prefix").hint("merge"), "class")
+            placed = stages.write(prefixes.select(
+                "class", "n", "root", F.posexplode("prefix").alias("at", "bucket")), "rest")
+        unsure = _by_main(placed, "bucket")
         # At first nothing is connected, and any document may be the star.
-        outside = unsure if first else unsure.where("root <> main")
-        by_class = Window.partitionBy("bucket").orderBy("class")
-        ranked = outside.withColumn("place", F.row_number().over(by_class))
-        chosen = ranked.where(F.col("place") <= stars).select(
-            "bucket", F.col("class").alias("star"), F.col("root").alias("star_root"),
-            F.col("n").alias("star_n"))
-        pairs = unsure.join(chosen.hint("merge"), "bucket").where(
-            "root <> star_root and 100 * least(n, star_n) >= "
-            f"{percent} * greatest(n, star_n)"
-        ).select(F.least("class", "star").alias("a"), F.greatest("class", "star").alias("b")
-                 ).distinct()
+        chosen = unsure if step == "star" else unsure.where("root <> main")
+        if step != "rest":
+            by_center = Window.partitionBy("bucket").orderBy(F.desc("central"), "class")
+            chosen = chosen.withColumn("place", F.row_number().over(by_center)).where("place = 1")
+        chosen = chosen.select(*[F.col(c).alias(f"star_{c}") for c in chosen.columns])
+        near = f"root <> star_root and 100 * least(n, star_n) >= {percent} * greatest(n, star_n)"
+        if step == "rest":
+            # At the first shingle two sets share, what follows must hold the whole intersection.
+            near += (f" and (100 + {percent}) * least(n - at, star_n - star_at)"
+                     f" >= {percent} * (n + star_n)")
+        pairs = unsure.join(
+            chosen.hint("merge"), (F.col("bucket") == F.col("star_bucket")) & F.expr(near)
+        ).select(F.least("class", "star_class").alias("a"),
+                 F.greatest("class", "star_class").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
         new = stages.write(_confirm(pairs, sets, percent), "compared")
@@ -159,15 +214,8 @@ def near_copies(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = stages.write(components(links, stages), "labels")
-        elif not first and ranked.where(F.col("place") > stars).isEmpty():
-            break
-        if not first:
-            stars *= 4
-        first = False
-
-    least = classes.select("class", "doc_id").join(
-        labels.withColumnRenamed("node", "class").hint("merge"), "class", "left"
-    ).withColumn("root", F.coalesce("root", "class"))
+
+    least = rooted(classes.select("class", "doc_id"))
     component = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_class = stages.write(least.join(component.hint("merge"), "root").select(
         "class", "component_id"), "components")
