@@ -287,3 +287,25 @@ def test_latent_space_against_a_dense_decomposition(spark):
         dense[i, own] = row
     v = np.linalg.svd(dense)[2][:3].T
     assert np.abs(space @ space.T - v @ v.T).max() < 1e-3
+
+
+@pytest.mark.parametrize("block", [512, 8])
+def test_decontamination_finds_items_longer_than_a_window(spark, block):
+    draw = np.random.default_rng(3)
+    items, rows = [], []
+    for k, size in enumerate((64, 100, 128, 150, 300, 1000)):
+        item = [f"w{n}" for n in draw.integers(0, 3000, size)]
+        item[-12:] = [f"answer{k}x{i}" for i in range(12)]
+        item[-13] += "."
+        items.append((k, " ".join(item) + "."))
+        filler = [f"filler{n}" for n in draw.integers(0, 900, 400 + 17 * k)]
+        kept = [w if draw.random() < 0.8 else "other" for w in item]
+        half = item[:size // 2]
+        for j, body in enumerate((item, kept, half, [w for w in item if draw.random() < 0.8])):
+            rows.append((10 * k + j, " ".join(filler[:150 + 7 * k] + body + filler[150 + 7 * k:])))
+    out = decontamination.leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"), block=block).collect()
+    assert sorted((r.doc_id, r.item_id) for r in out) == [
+        (10 * k + j, k) for k in range(len(items)) for j in (0, 1, 3)]
+    assert all(r.covered == 1 for r in out if r.doc_id % 10 == 0)

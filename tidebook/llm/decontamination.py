@@ -1,10 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval (10).
 
-Benchmark items, in blocks of bounded size, span a latent space: the randomised singular value
-decomposition of their TF-IDF passages, with document frequencies counted over all documents. Every
-window of every document is folded into that space and compared with every item by cosine. What
-comes near is checked word by word: the longest common subsequence must cover most of the item, and
-most of its answer, its last sentence, so rephrased copies count and shared topics don't.
+Benchmark items are cut into passages that fit a window. Passages, in blocks of bounded size, span a
+latent space: the randomised singular value decomposition of their TF-IDF rows, with document
+frequencies counted over all documents. Every window of every document is folded into that space
+and compared with every passage by cosine. Around what comes near, the whole item is checked word by
+word: the longest common subsequence must cover most of the item, and most of its answer, its last
+sentence, so rephrased copies count and shared topics don't.
 
 The decomposition never holds the passage matrix: tasks multiply their rows with a random test
 matrix and back, and the products, one row per term and task, are summed after a shuffle.
@@ -25,29 +26,40 @@ from tidebook.llm.registry import query, table
 from tidebook.llm.tfidf import BREAKS, document_counts, positions
 from tidebook.llm.words import Words, lowered, words
 
-#: Items indexed together, and spare dimensions while their space is sought. The space has a
-#: dimension for each item of a block: with fewer, items blur into one another, and common words
-#: alone bring windows near.
+#: Passages indexed together, and spare dimensions while their space is sought. The space has a
+#: dimension for each passage of a block: with fewer, passages blur into one another, and common
+#: words alone bring windows near.
 BLOCK, SPARE = 512, 16
-#: Words of half a window; a window is two neighbouring halves.
+#: Words of half a window; a window is two neighbouring halves. A passage has at most the words of a
+#: half, so that wherever it stands one window holds all of it.
 HALF = 32
-#: Least cosine of a candidate, least length of its projection on the item (a window that holds
-#: an item among other words has about the item's), and least share of the item and of its answer
-#: in common order.
+#: Least cosine of a candidate, least length of its projection on the passage (a window that holds
+#: a passage among other words has about the passage's), and least share of the item and of its
+#: answer in common order.
 COSINE, PROJECTED, COVERED, ANSWERED = 0.1, 0.5, 0.7, 0.5
 #: Windows compared with all items at once.
 CHUNK = 4096
+#: Halves summed at once; their vectors fit the processor's cache.
+SUMMED = 256
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 @dataclass
-class Index:
-    """A block of items in latent space."""
+class Space:
+    """A block of passages in latent space."""
 
-    terms: np.ndarray  #: sorted hashes of the items' words
+    terms: np.ndarray  #: sorted hashes of the passages' words
     fold: np.ndarray  #: weight of a term times its place in the space
-    items: np.ndarray  #: unit vectors
+    passages: np.ndarray  #: unit vectors
     sizes: np.ndarray  #: their lengths before
+    owner: np.ndarray  #: the item of each, in ascending order
+
+
+@dataclass
+class Index:
+    """Items that are searched together; the passages of one may lie in several spaces."""
+
+    spaces: list[Space]
     item_ids: list
     item_words: list[np.ndarray]  #: word hashes in order
     answers: list[np.ndarray]  #: those of the last sentence
@@ -139,7 +151,7 @@ def covered(item: np.ndarray, region: np.ndarray) -> float:
     return _subsequence(masks, region) / size if size else 0.0
 
 
-def _windows(found: Words, index: Index):
+def _windows(found: Words, index: Space):
     """Latent vectors of all windows, with the text and first word of each."""
     counts = np.diff(found.word_at)
     halves = np.maximum(1, -(-counts // HALF))
@@ -152,11 +164,16 @@ def _windows(found: Words, index: Index):
     vectors = np.zeros((len(text), index.fold.shape[1]), dtype=np.float32)
     if len(known):
         first = np.flatnonzero(np.diff(half, prepend=-1))
-        for a in range(0, len(first), CHUNK):
-            part = first[a:a + CHUNK]
-            end = first[a + CHUNK] if a + CHUNK < len(first) else len(known)
-            rows = index.fold[at[known[part[0]:end]]]
-            vectors[half[part]] = np.add.reduceat(rows, part - part[0], axis=0)
+        size = np.diff(first, append=len(known))
+        # Halves with most words first, so that their jth words are those of the first few rows.
+        order = np.argsort(-size, kind="stable")
+        for a in range(0, len(order), SUMMED):
+            begin, number = first[order[a:a + SUMMED]], size[order[a:a + SUMMED]]
+            total = index.fold[at[known[begin]]]
+            for j in range(1, number[0]):
+                begin = begin[:np.searchsorted(-number, -j)]
+                total[:len(begin)] += index.fold[at[known[begin + j]]]
+            vectors[half[first[order[a:a + SUMMED]]]] = total
     joined = vectors.copy()
     follows = text[1:] == text[:-1]
     joined[:-1][follows] += vectors[1:][follows]
@@ -164,6 +181,20 @@ def _windows(found: Words, index: Index):
     return joined, text, begin
 
 
+def _candidates(vectors: np.ndarray, space: Space, cosine: float,
+                best: dict[tuple[int, int], float]) -> dict[tuple[int, int], float]:
+    """``best`` with the windows and items that come near by a passage of this space."""
+    norms = np.linalg.norm(vectors, axis=1)
+    for a in range(0, len(vectors), CHUNK):
+        near = vectors[a:a + CHUNK] @ space.passages.T
+        like = near >= PROJECTED * space.sizes[None, :]
+        near /= np.maximum(norms[a:a + CHUNK, None], 1e-12)
+        for w, p in zip(*np.nonzero(like & (near >= cosine)), strict=True):
+            key = a + int(w), int(space.owner[p])
+            best[key] = max(best.get(key, 0.0), float(near[w, p]))
+    return best
+
+
 def _search(batches: Iterator[pa.RecordBatch], shared, cosine: float, share: float,
             answered: float) -> Iterator[pa.RecordBatch]:
     index: Index = shared.value
@@ -172,25 +203,23 @@ def _search(batches: Iterator[pa.RecordBatch], shared, cosine: float, share: flo
         ids = batch.column("doc_id").to_pylist()
         out: dict[tuple[int, int], tuple[float, float, float]] = {}
         for found in words(lowered(batch.column("text")), BREAKS):
-            vectors, text, begin = _windows(found, index)
-            norms = np.linalg.norm(vectors, axis=1)
-            for a in range(0, len(vectors), CHUNK):
-                near = vectors[a:a + CHUNK] @ index.items.T
-                like = near >= PROJECTED * index.sizes[None, :]
-                near /= np.maximum(norms[a:a + CHUNK, None], 1e-12)
-                for w, k in zip(*np.nonzero(like & (near >= cosine)), strict=True):
-                    item = index.item_words[k]
-                    t = text[a + w]
-                    low = max(begin[a + w] - len(item), found.word_at[t])
-                    high = min(begin[a + w] + 2 * HALF + len(item), found.word_at[t + 1])
-                    region = found.hash[low:high]
-                    part = _subsequence(masks[k], region) / len(item)
-                    if part < share:
-                        continue
-                    answer = covered(index.answers[k], region)
-                    key = found.first + int(t), int(k)
-                    if answer >= answered and part > out.get(key, (0, -1.0, 0))[1]:
-                        out[key] = float(near[w, k]), part, answer
+            near: dict[tuple[int, int], float] = {}  # best cosine of a window and an item
+            for space in index.spaces:
+                vectors, text, begin = _windows(found, space)
+                near = _candidates(vectors, space, cosine, near)
+            for (w, k), like in near.items():
+                item = index.item_words[k]
+                t = text[w]
+                low = max(begin[w] - len(item), found.word_at[t])
+                high = min(begin[w] + 2 * HALF + len(item), found.word_at[t + 1])
+                region = found.hash[low:high]
+                part = _subsequence(masks[k], region) / len(item)
+                if part < share:
+                    continue
+                answer = covered(index.answers[k], region)
+                key = found.first + int(t), k
+                if answer >= answered and part > out.get(key, (0, -1.0, 0))[1]:
+                    out[key] = like, part, answer
         rows = [(ids[t], index.item_ids[k], *v) for (t, k), v in out.items()]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays(
@@ -202,32 +231,49 @@ def _search(batches: Iterator[pa.RecordBatch], shared, cosine: float, share: flo
 FOUND = "doc_id long, item_id long, cosine double, covered double, answered double"
 
 
-def build_index(docs: DataFrame, rows: list) -> Index | None:
-    """The index of a block of items ``(item_id, text)``; None if none has a word."""
-    def hashed(texts: list[str]) -> list[np.ndarray]:
-        found = words(lowered(pa.array(texts, pa.string())), BREAKS)
-        return [f.hash[a:b] for f in found
-                for a, b in zip(f.word_at[:-1], f.word_at[1:], strict=True)]
+def _cut(texts: list[str]) -> tuple[list[np.ndarray], list[list[str]]]:
+    """Word hashes of each text, and its passages of about equal numbers of words."""
+    hashes, cut = [], []
+    for f in words(lowered(pa.array(texts, pa.string())), BREAKS):
+        for a, b in zip(f.word_at[:-1].tolist(), f.word_at[1:].tolist(), strict=True):
+            hashes.append(f.hash[a:b])
+            number = -(-(b - a) // HALF)
+            edges = [a + (b - a) * i // number for i in range(number + 1)] if number else []
+            cut.append([f.data[f.start[i]:f.end[j - 1]].tobytes().decode()
+                        for i, j in zip(edges[:-1], edges[1:], strict=True)])
+    return hashes, cut
+
 
+def build_index(docs: DataFrame, rows: list, block: int = BLOCK) -> Index | None:
+    """The index of items ``(item_id, text)``; None if none has a word."""
     texts = [r.text for r in rows]
-    item_words = hashed(texts)
-    last = hashed([_SENTENCE.split(t.strip())[-1] for t in texts])
+    item_words, cut = _cut(texts)
+    last = _cut([_SENTENCE.split(t.strip())[-1] for t in texts])[0]
     kept = [i for i, x in enumerate(item_words) if len(x)]
     if not kept:
         return None
     answers = [last[i] if len(last[i]) else item_words[i] for i in kept]
-    terms = np.unique(np.concatenate([item_words[i] for i in kept]))
-    counts, total = document_counts(docs, terms)
-    weights = np.log((1 + total) / (1 + counts)) + 1e-3
-    passages = docs.sparkSession.createDataFrame([(texts[i],) for i in kept], "text string")
-    space = latent_space(passages, terms, weights, min(len(kept), len(terms)))
-    vectors = np.stack([
-        row @ space[own] for own, row in _passage_rows(
-            pa.array([texts[i] for i in kept], pa.string()), terms, weights)])
-    size = np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
-    return Index(terms, (weights[:, None] * space).astype(np.float32),
-                 (vectors / size[:, None]).astype(np.float32), size.astype(np.float32), [rows[i].item_id for i in kept],
-                 [item_words[i] for i in kept], answers)
+    all_terms = np.unique(np.concatenate([item_words[i] for i in kept]))
+    counts, total = document_counts(docs, all_terms)
+    all_weights = np.log((1 + total) / (1 + counts)) + 1e-3
+    passages = [(k, text) for k, i in enumerate(kept) for text in cut[i]]
+    spaces = []
+    for a in range(0, len(passages), block):
+        owner, own_texts = zip(*passages[a:a + block], strict=True)
+        column = pa.array(own_texts, pa.string())
+        terms = np.unique(np.concatenate([f.hash for f in words(lowered(column), BREAKS)]))
+        weights = all_weights[positions(all_terms, terms)]
+        place = latent_space(
+            docs.sparkSession.createDataFrame([(t,) for t in own_texts], "text string"),
+            terms, weights, min(len(own_texts), len(terms)))
+        vectors = np.stack([
+            row @ place[own] for own, row in _passage_rows(column, terms, weights)])
+        size = np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
+        spaces.append(Space(
+            terms, (weights[:, None] * place).astype(np.float32),
+            (vectors / size[:, None]).astype(np.float32), size.astype(np.float32),
+            np.array(owner)))
+    return Index(spaces, [rows[i].item_id for i in kept], [item_words[i] for i in kept], answers)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, share: float = COVERED,
@@ -236,17 +282,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, share:
 
     ``docs(doc_id, text)`` are searched whole for every item of ``benchmark(item_id, text)``. Words
     are runs of letters and digits in any case. An item is found if, near a window of sufficient
-    cosine, at least ``share`` of its words and ``answered`` of its last sentence occur in order.
+    cosine to one of its passages, at least ``share`` of its words and ``answered`` of its last
+    sentence occur in order, however long it is.
     Null, empty and wordless texts on either side match nothing. Items with null ids take part,
     documents with null ids too; repeated rows give repeated results. Other columns are ignored;
     an empty table on either side gives no rows.
     """
     found = None
     part: list = []
+    size = 0
 
     def search(rows: list) -> None:
         nonlocal found
-        index = build_index(docs, rows)
+        index = build_index(docs, rows, block)
         if index is not None:
             shared = docs.sparkSession.sparkContext.broadcast(index)
             more = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
@@ -255,10 +303,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, share:
 
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text")
     for row in items.distinct().orderBy("item_id", "text").toLocalIterator():
-        part.append(row)
-        if len(part) == block:
+        number = max(1, sum(map(len, _cut([row.text])[1])))
+        if part and size + number > block:
             search(part)
-            part = []
+            part, size = [], 0
+        part.append(row)
+        size += number
     if part:
         search(part)
     if found is None:
