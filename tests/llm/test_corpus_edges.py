@@ -309,3 +309,18 @@ def test_decontamination_finds_items_longer_than_a_window(spark, block):
     assert sorted((r.doc_id, r.item_id) for r in out) == [
         (10 * k + j, k) for k in range(len(items)) for j in (0, 1, 3)]
     assert all(r.covered == 1 for r in out if r.doc_id % 10 == 0)
+
+
+def test_added_personal_data_does_not_depend_on_other_text():
+    class Sure:
+        @staticmethod
+        def probability(x):
+            return np.ones(len(x))
+
+    model = personal_data.Model(Sure(), [0.5] * len(personal_data.KINDS))
+    for text in ("write to jo(at)mail.example.com", "JO AT MAIL DOT COM", "jo [At] mail (Dot) com",
+                 "jo {at} mail.com", "jo At mail.com", "jo@mail dot com", "look at it. No dot here",
+                 "nothing", ""):
+        sure, found = personal_data.spans(text, model)
+        assert (sure, found) == personal_data.spans(text + " 7", model)
+        assert bool(found) == bool(personal_data.loose(text))
