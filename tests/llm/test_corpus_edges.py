@@ -324,3 +324,32 @@ def test_added_personal_data_does_not_depend_on_other_text():
         sure, found = personal_data.spans(text, model)
         assert (sure, found) == personal_data.spans(text + " 7", model)
         assert bool(found) == bool(personal_data.loose(text))
+
+
+def test_licenses_by_text_version_and_family(spark):
+    texts = dict(licenses.TEXTS)
+    mine = "Copyright (c) 2021, Jo Example\nAll rights reserved.\n\n"
+    rows = [(f"{n}/LICENSE", mine + t, n) for n, t in texts.items()]
+    rows += [("AGPL/LICENSE", texts["GPL-3.0"].replace("GNU General", "GNU Affero General"), None)]
+    header = ("# This {0} is free software: you can redistribute it and/or modify\n"
+              "# it under the terms of the GNU {1}General Public License as published by\n"
+              "# the Free Software Foundation, either version {2} of the License, or\n"
+              "# (at your option) any later version.\ncode\n")
+    rows += [(f"src/{i}.py", text, name) for i, (name, text) in enumerate([
+        ("GPL-2.0", "licensed under the GNU General Public License, version 2"),
+        ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
+        ("GPL-3.0", "licensed under the GNU General Public License, version 3"),
+        (None, "licensed under the GNU General Public License, version 7"),
+        ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."), ("CC-BY-4.0", "under CC BY 4.0"),
+        ("GPL-2.0", header.format("program", "", "2")), ("GPL-3.0", header.format("program", "", "3")),
+        ("LGPL-2.1", header.format("library", "Lesser ", "2.1")),
+        ("AGPL-3.0", header.format("program", "Affero ", "3")),
+        ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-only"),
+        ("ISC", "This library is released under the ISC License."),
+        (None, "Use of this code is governed by a Foo-style license found in the LICENSE file.")])]
+    files = spark.createDataFrame([(i, *r[:2]) for i, r in enumerate(rows)],
+                                  "file_id long, path string, text string")
+    out = {r.path: r.license for r in licenses.scan(files).collect()}
+    assert {p: out[p] for p, _, n in rows if p != "AGPL/LICENSE"} == {
+        p: n for p, _, n in rows if p != "AGPL/LICENSE"}
+    assert out["AGPL/LICENSE"] != "GPL-3.0"
