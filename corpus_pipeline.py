@@ -13,6 +13,7 @@ from tidebook.llm import (  # noqa: F401
     decontamination,
     language,
     licenses,
+    manifest,
     near_copies,
     packing,
     personal_data,
