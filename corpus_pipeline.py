@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.llm import (  # noqa: F401
+    conversations,
     decontamination,
     language,
     licenses,
