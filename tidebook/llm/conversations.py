@@ -50,11 +50,10 @@ def rebuilt(turns: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
         F.col("conv_id").cast("long").alias("conv"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    own = own.select("conv", "turn", *_turn_names(), F.length("text").cast("long").alias("chars"),
-                     F.struct("role", F.xxhash64("text")).alias("tie"))
-    own = stages.write(own, "turns")
-    own = stages.write(numbered(own, ["conv"], ["turn", "tie"], stages, "ordered").drop(
-        "turn", "tie"), "numbered")
+    own = numbered(own, ["conv"], ["turn", "role", "text"], stages, "ordered")
+    own = stages.write(own.select(
+        "conv", "position", "size", *_turn_names(), F.length("text").cast("long").alias("chars")),
+        "turns")
     taken = F.crc32(F.col("conv").cast("string").cast("binary")) % TAKEN
     convs = own.groupBy("conv").agg(F.first("size").alias("size")).select(
         "conv", (F.col("conv") - F.col("conv") % FAMILY).alias("base"), taken.alias("taken"))
