@@ -6,22 +6,11 @@ share and read back. That cuts its lineage, and a lost executor costs a re-read
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one in a local session without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidebook-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+from tidebook.session import shared_folder
 
 
 class Stages:

@@ -90,18 +90,19 @@ def pieces(column: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tuple[i
 
 
 def words(
-    column: pa.Array, breaks: str = "", piece_bytes: int = PIECE_BYTES, spelled: bool = False
+    column: pa.Array, breaks: str = "", piece_bytes: int = PIECE_BYTES, spelled: bool = False,
+    fold: bool = True,
 ) -> Iterator[Words]:
     """Words of every text of the column, piece by piece.
 
     ``breaks`` are further ASCII characters that end a word and belong to none. With ``spelled``,
-    single characters with one space between them make one word.
+    single characters with one space between them make one word. Without ``fold``, A to Z stay.
     """
     space = _SPACE.copy()
     for c in breaks:
         space[ord(c)] = True
     for first, last, raw, text_at in pieces(column, piece_bytes):
-        data = _FOLD[raw]
+        data = _FOLD[raw] if fold else raw
         inside = ~space[data]
         if spelled:
             inside |= _between_single(inside, text_at)
