@@ -19,6 +19,7 @@ from tidebook.llm import (  # noqa: F401
     packing,
     personal_data,
     repeated_lines,
+    substrings,
     token_counts,
     topk,
     toxicity,
