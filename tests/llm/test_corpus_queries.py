@@ -35,7 +35,7 @@ def test_sql_twin(spark, name):
 
 def test_all_are_registered():
     numbers = sorted(int(m[1]) for m in (re.match(r"op(\d+)_", q) for q in QUERIES) if m)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in entry_point.queries()
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language", "line dedup", "near-dedup", "decontamination", "packing"]

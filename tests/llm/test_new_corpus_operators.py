@@ -1,6 +1,9 @@
 """Merkle manifest, repeated substrings and conversation trie against brute force and edge cases."""
 
 import random
+import re
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 from hashlib import sha256
@@ -8,7 +11,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
-from tidebook.llm import conversations, manifest
+from tidebook.llm import conversations, manifest, substrings
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -155,3 +158,97 @@ def test_trie_of_nothing_and_of_one_text_many_times(spark):
     same = [(c, 0, "user", "same") for c in range(9000)]
     found = conversations.prefix_trie(spark.createDataFrame(same, TURNS)).select(*COLUMNS)
     assert sorted(map(tuple, found.collect()), key=repr) == plain_trie(same)
+
+
+def plain_substrings(rows, window):
+    """``(doc_id, n_words, n_removed, kept)`` of every row, by comparing all windows."""
+    split = [(d, re.findall(r"[^\x20\t-\r]+", t or "")) for d, t in rows]
+
+    def rank(d):
+        return (d is not None, d or 0)
+
+    least = {}
+    for d, w in split:
+        for i in range(len(w) - window + 1):
+            k = tuple(w[i:i + window])
+            least[k] = min(least.get(k, rank(d)), rank(d))
+    out = []
+    for d, w in split:
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if least[tuple(w[i:i + window])] < rank(d):
+                gone |= set(range(i, i + window))
+        kept = [x for i, x in enumerate(w) if i not in gone]
+        out.append((d, len(w), len(gone), " ".join(kept)))
+    return sorted(out, key=repr)
+
+
+def random_texts(seed, n):
+    r = random.Random(seed)
+    vocabulary = ["a", "b", "A", "c.", "é", "word", "x" * 50]
+    shared = [" ".join(r.choices(vocabulary, k=r.randrange(3, 60))) for _ in range(6)]
+    rows = []
+    for i in range(n):
+        parts = [r.choice(shared) if r.random() < .4 else " ".join(
+            r.choices(vocabulary, k=r.randrange(12))) for _ in range(r.randrange(4))]
+        rows.append((i, r.choice([" ", "\n", "\t \u00a0 ", "\x1f"]).join(parts)))
+    long = " ".join(r.choices([str(i) for i in range(40)], k=3000))
+    rows += [(500, long), (501, long + " end"), (502, "z " * 400), (503, "z " * 300)]
+    rows += [(504, rows[3][1]), (504, rows[4][1]), (504, rows[3][1]), (None, rows[5][1]),
+             (None, shared[0]), (505, None), (506, ""), (507, " \n ")]
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("window, group", [(3, 1 << 18), (13, 50), (4, 7), (13, 1 << 18)])
+def test_substrings_against_brute_force(spark, window, group):
+    rows = random_texts(window, 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn(
+        "n_words", F.lit("clash")).withColumn("prefix", F.lit("kept along"))
+    found = substrings.drop_repeated_substrings(docs, window, group)
+    assert found.columns == ["doc_id", "prefix", "n_words", "n_removed", "kept"]
+    assert sorted(map(tuple, found.drop("prefix").collect()), key=repr) == plain_substrings(
+        rows, window)
+
+
+def test_substrings_of_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert substrings.drop_repeated_substrings(empty).count() == 0
+
+
+def test_subtrees_have_the_shared_depths():
+    import numpy as np
+
+    edges = np.array([[1, 2, 3], [1, 2, 3], [0, 9, 9], [1, 2, 4], [1, 2, 3]], dtype=np.uint8)
+    order, common = substrings.subtrees(edges, np.array([5, 7, 1, 1, 5]))
+    assert order.tolist() == [2, 0, 4, 1, 3]
+    assert common.tolist() == [0, 0, 4, 3, 2]
+
+
+def test_operators_start_without_a_checkpoint_folder(tmp_path):
+    """In a process of its own: the session has neither the setting nor Spark's default file."""
+    code = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config(
+    "spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+from tidebook.llm import manifest, near_copies, packing, repeated_lines, token_counts
+from tidebook.llm.stages import Stages
+docs = spark.createDataFrame(
+    [(i, "one two three four five six", "en", "s", 27) for i in range(4)],
+    "doc_id long, text string, lang string, source string, n_chars long")
+assert repeated_lines.drop_repeated_lines(docs).count() == 4
+assert near_copies.near_copies(docs).where("kept").count() == 1
+assert packing.pack(docs).count() == 4
+assert token_counts.token_counts(docs, Stages(spark, "t").folder + "/cache").count() == 4
+assert manifest.manifest(docs).count() == 4
+print("all ran")
+"""
+    (tmp_path / "conf").mkdir()
+    import os
+
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": ":".join(sys.path)}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, timeout=300,
+                          capture_output=True, text=True)
+    assert "all ran" in done.stdout, done.stderr[-3000:]
