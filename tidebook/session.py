@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,17 +54,31 @@ def build_session(
     return builder.getOrCreate()
 
 
+#: Temporary folders of local sessions that name no shared one, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a temporary one in a local session without it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tidebook-")
+    return _LOCAL_FOLDERS[application]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The same rows written once to the shared folder the cluster names for checkpoints.
+    """The same rows written once to the shared folder (see ``shared_folder``).
 
     Used where several relations come from one expensive parse. They are a Parquet table there:
     one pass writes it, readers take only the columns they need, and a lost executor costs a
-    re-read. A session that names no folder gets ``df`` back and parses again for each relation.
+    re-read.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df
-    path = f"{folder.rstrip('/')}/tables/{uuid4().hex}"
+    path = f"{shared_folder(spark)}/tables/{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
