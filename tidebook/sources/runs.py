@@ -34,20 +34,24 @@ def run_by_parameter(spark: SparkSession, view: str, run_id: str) -> DataFrame:
     )
 
 
-#: Cells of a line that are read; a run file has a few dozen columns.
-MAX_CELLS = 64
-#: A line end that is not inside double quotes. A run file is small: one row per model.
-LINE_END = r'\R(?=(?:[^"]*"[^"]*")*[^"]*$)'
-_CELLS = ", ".join(f"c{i} string" for i in range(MAX_CELLS))
+#: A record with the line end before it: line ends inside double quotes belong to a cell. A quote
+#: without a second one is an ordinary character. Possessive, so that long files need no stack.
+RECORD = r'(?:\r\n|[\r\n])(?:[^"\r\n]++|"[^"]*+"|"[^\r\n]*+)*+'
+#: A cell with the comma before it; quotes count where they enclose a cell.
+CELL = r',(?:\s*+"[^"]*+(?:""[^"]*+)*+"\s*+(?=,|$)|[^,]*+)'
 
 
-def _with_cells(rows: DataFrame, line: Column, name: str) -> DataFrame:
-    """Cells of one record as Spark's CSV parser reads it; empty ones are NULL."""
-    record = F.from_csv(line, _CELLS, {
-        "mode": "PERMISSIVE", "quote": '"', "escape": '"', "maxColumns": str(MAX_CELLS + 1),
-        "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
-    cells = F.array(*[F.col(f"_record.c{i}") for i in range(MAX_CELLS)])
-    return once(once(rows, record, "_record"), cells, name).drop("_record")
+def _cells(record: Column) -> Column:
+    """All cells of one record, however many; empty ones are NULL."""
+    def plain(cell: Column) -> Column:
+        text = strip(F.substring(cell, F.lit(2), F.length(cell)))
+        quoted = text.startswith('"') & text.endswith('"') & (F.length(text) > 1)
+        inner = F.substring(text, F.lit(2), F.length(text) - 2)
+        return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(
+            F.nullif(text, F.lit("")))
+
+    found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(CELL), F.lit(0))
+    return F.transform(found, plain)
 
 
 def _read_as(text: Column, dtype: T.DataType) -> Column:
@@ -59,20 +63,30 @@ def _read_as(text: Column, dtype: T.DataType) -> Column:
 
 
 def _records(files: DataFrame, column: str) -> DataFrame:
-    """Records of whole run files with their file's header, and whether they fit it."""
+    """Records of whole run files with their file's header, and whether they fit it.
+
+    ``named`` are the places of the header's names; of a name given twice the last one counts.
+    """
+    found = F.regexp_extract_all(F.concat(F.lit("\n"), F.col(column)), F.lit(RECORD), F.lit(0))
+    # A record begins with the line end before it, which is white space to cells.
     lines = files.select(
-        F.filter(F.split(column, LINE_END), lambda line: strip(line) != "").alias("lines")
+        F.filter(F.transform(found, lambda r: F.regexp_replace(r, r"^(\r\n|[\r\n])", "")),
+                 lambda line: strip(line) != "").alias("lines")
     ).where(F.size("lines") > 1)
-    headed = _with_cells(lines, F.get("lines", F.lit(0)), "names")
-    # Names end with the last filled cell; of a name given twice the last column counts.
+    headed = once(lines, _cells(F.get("lines", F.lit(0))), "names")
+    # Names end with the last filled cell.
     width = F.array_max(F.transform(
         "names", lambda n, i: F.when(n.isNotNull(), i + 1).otherwise(0)))
+    headed = once(headed, F.slice("names", F.lit(1), width), "header")
+    headed = once(headed, F.reverse("header"), "backward")
+    is_last = lambda n, i: F.array_position("backward", n) + i == F.size("header")
     rows = headed.select(
-        F.slice("names", F.lit(1), width).alias("header"),
+        "header", F.filter(F.transform("header", lambda n, i: F.when(is_last(n, i), i)),
+                           lambda i: i.isNotNull()).alias("named"),
         F.explode(F.slice("lines", F.lit(2), F.size("lines") - 1)).alias("line"))
-    parsed = _with_cells(rows, F.col("line"), "cells")
+    parsed = once(rows, _cells(F.col("line")), "cells")
     over = F.exists(
-        F.slice("cells", F.size("header") + 1, F.lit(MAX_CELLS)), lambda c: c.isNotNull())
+        F.slice("cells", F.size("header") + 1, F.size("cells")), lambda c: c.isNotNull())
     return parsed.withColumn("fits", ~over)
 
 
@@ -90,14 +104,9 @@ def parse_run_files(files: DataFrame, column: str = "value") -> DataFrame:
     ``run_file_rejects``.
     """
     fitting = _records(files, column).where("fits")
-    entries = F.filter(
-        F.arrays_zip(F.col("header").alias("name"),
-                     F.slice("cells", F.lit(1), F.size("header")).alias("value")),
-        lambda e: e["name"].isNotNull())
-    last_of_name = F.filter("entries", lambda e, i: ~F.exists(
-        F.slice("entries", i + 2, F.lit(MAX_CELLS)), lambda later: later["name"] == e["name"]))
-    named = once(fitting, entries, "entries")
-    row = once(named, F.map_from_entries(last_of_name), "row").select("row")
+    entries = F.transform("named", lambda i: F.struct(
+        F.get("header", i).alias("name"), F.get("cells", i).alias("value")))
+    row = once(fitting, F.map_from_entries(entries), "row").select("row")
     known = [
         _read_as(F.try_element_at("row", F.lit(f.name)), f.dataType).alias(f.name)
         for f in schemas.RUN_FILE.fields

@@ -312,6 +312,50 @@ def run_files(t):
     )
 
 
+_FILLED = (65, 68, 500)
+
+
+def _wide_run_files(t):
+    """One file per run with as many columns as its degree asks for; the last one is filled.
+
+    Every record whose number of rows is a multiple of seven has one cell beyond the last.
+    """
+    width = F.get(F.array(*map(F.lit, _FILLED)), (F.col("parallel_degree") % 3).cast("int"))
+    lines = b.run_stats(t).select(
+        "run_id", width.alias("width"), F.concat(
+            F.col("model_name"), F.lit(","), F.col("run_id"),
+            F.repeat(F.lit(","), F.col("width") - 3), F.lit(",\"v,"),
+            F.coalesce(F.col("rows_processed").cast("string"), F.lit("")), F.lit('"'),
+            F.when(F.col("rows_processed") % 7 == 0, ",more").otherwise("")).alias("line"))
+    names = F.concat_ws(",", F.lit("model_name"), F.lit("run_id"), F.transform(
+        F.sequence(F.lit(3), F.col("width")), lambda i: F.concat(F.lit("x"), i.cast("string"))))
+    files = lines.groupBy("run_id", "width").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    return files.select(F.concat_ws("\n", names, "lines").alias("value"))
+
+
+_WIDTH_SQL = "CASE parallel_degree % 3 WHEN 0 THEN 65 WHEN 1 THEN 68 ELSE 500 END"
+
+
+@query("run_files_wide", _stats_sql(f"""
+SELECT run_id, model_name, {_WIDTH_SQL} - 2 AS n_other,
+       'v,' || coalesce(CAST(rows_processed AS VARCHAR), '') AS last_other FROM stats
+WHERE coalesce(rows_processed % 7, 1) <> 0"""))
+def run_files_wide(t):
+    other = F.col("other_columns")
+    last = F.try_element_at(other, F.concat(F.lit("x"), (F.size(other) + 2).cast("string")))
+    return parse_run_files(_wide_run_files(t)).select(
+        "run_id", "model_name", F.size(other).alias("n_other"), last.alias("last_other"))
+
+
+@query("run_file_rejects_wide", _stats_sql("""
+SELECT run_id, count(*) AS n_records FROM stats WHERE rows_processed % 7 = 0 GROUP BY 1"""))
+def run_file_rejects_wide(t):
+    """Records of wide files with a cell too many, by run."""
+    run = F.regexp_extract("record", r"^[^,]*,([^,]*),", 1).alias("run_id")
+    return run_file_rejects(_wide_run_files(t)).groupBy(run).agg(
+        F.count(F.lit(1)).alias("n_records"))
+
+
 @query("run_file_rejects", _stats_sql("""
 SELECT coalesce(pod_size, '') AS pod_size, count(*) AS n_records FROM stats
 WHERE parallel_degree <> 4 AND rows_processed % 5 = 0 GROUP BY 1"""))
