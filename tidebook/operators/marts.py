@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import mean_of, percent_of
+from ..session import checkpointed
 
 # Grouping keys and output columns of the two marts.
 NAV_KEYS = [
@@ -56,29 +59,57 @@ def nav_rollup(enriched: DataFrame) -> DataFrame:
     )
 
 
-def with_prior_day(nav: DataFrame) -> DataFrame:
-    """NAV of the account's previous existing day, and the return since then.
+def _prior_nav() -> Column:
+    """NAV of the account's previous existing day.
 
     The window partition is one account's days after the rollup: it grows with the calendar,
     not with the number of positions.
     """
     by_account = Window.partitionBy("account_id").orderBy("as_of_date")
+    return F.lag("nav_base").over(by_account)
+
+
+def _finished(nav: DataFrame) -> DataFrame:
+    """The mart's columns from the rollup with ``prior_day_nav_base``."""
     prior = F.col("prior_day_nav_base")
     change = F.col("nav_base").cast("decimal(24,2)") - prior.cast("decimal(24,2)")
-    return nav.withColumn("prior_day_nav_base", F.lag("nav_base").over(by_account)).withColumn(
-        "daily_return_pct", percent_of(change, prior, 4)
-    )
+    return nav.withColumns({
+        "daily_return_pct": percent_of(change, prior, 4),
+        "top_position_pct": percent_of(F.col("top_position_base"), F.col("nav_base"), 2),
+        "cash_pct_nav": percent_of(F.col("cash_base"), F.col("nav_base"), 2),
+    }).select(*NAV_COLUMNS, F.current_timestamp().alias("dbt_built_at"))
 
 
 def nav_by_account_daily(enriched: DataFrame) -> DataFrame:
-    nav = with_prior_day(nav_rollup(enriched))
-    shares = {
-        "top_position_pct": percent_of(F.col("top_position_base"), F.col("nav_base"), 2),
-        "cash_pct_nav": percent_of(F.col("cash_base"), F.col("nav_base"), 2),
-    }
-    return nav.withColumns(shares).select(
-        *NAV_COLUMNS, F.current_timestamp().alias("dbt_built_at")
-    )
+    return _finished(nav_rollup(enriched).withColumn("prior_day_nav_base", _prior_nav()))
+
+
+def refreshed_nav(stored: DataFrame, enriched: DataFrame, days: Sequence[date]) -> DataFrame:
+    """The rows of all days of the stored mart that change when positions of ``days`` did.
+
+    Those are ``days``, rolled up anew from their positions alone, and the days on which an account
+    has its next row after one of them, if what it follows on changed. Other days are looked at
+    through four columns of the mart, one narrow row per account and day. Whole days are returned,
+    ready to replace their partitions; the days found are collected, for a calendar is short.
+    """
+    fresh = checkpointed(nav_rollup(enriched.where(F.col("as_of_date").isin(list(days)))))
+    kept = stored.where(~F.col("as_of_date").isin(list(days)))
+    linked = ["account_id", "as_of_date", "nav_base"]
+    lagged = kept.select(*linked, "prior_day_nav_base", F.lit(False).alias("is_fresh")).unionByName(
+        fresh.select(*linked, F.lit(None).cast("decimal(38,2)").alias("prior_day_nav_base"),
+                     F.lit(True).alias("is_fresh"))).withColumn("prior", _prior_nav())
+    lagged = checkpointed(lagged)
+    moved = ~F.col("is_fresh") & ~F.col("prior").eqNullSafe(F.col("prior_day_nav_base"))
+    later = [r[0] for r in lagged.where(moved).select("as_of_date").distinct().collect()]
+    rows = fresh.unionByName(kept.where(F.col("as_of_date").isin(later)).select(*fresh.columns))
+    links = lagged.select("account_id", "as_of_date", F.col("prior").alias("prior_day_nav_base"))
+    links = links.where(F.col("as_of_date").isin([*days, *later]))
+    return _finished(rows.join(links, ["account_id", "as_of_date"]))
+
+
+def refreshed_exposure(stored: DataFrame, enriched: DataFrame, days: Sequence[date]) -> DataFrame:
+    """The rows of ``days``, which depend on no other day."""
+    return exposure_by_asset_class(enriched.where(F.col("as_of_date").isin(list(days))))
 
 
 def exposure_by_asset_class(enriched: DataFrame) -> DataFrame:

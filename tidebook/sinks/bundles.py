@@ -1,44 +1,62 @@
 """Catalog relations that change together: new versions first, then one commit record.
 
-A commit writes only the relations it brings, each to a folder of its version, and one log row
-that says where every relation now is. Readers take the newest row, so a job that dies half way
-leaves nothing they can see. One writer at a time. ``remove_old_versions`` deletes what no recent
-commit points to.
+A relation is cut into buckets by a hash of its key. A commit rewrites only the buckets that the
+keys it brings fall in, each to a folder of its version, and one record says where every bucket of
+every relation now is (see ``commits``). So a commit costs about what it changes, however large the
+catalog is. ``remove_old_versions`` deletes what no recent commit points to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.merging import dedupe_latest, merge_rows
-from .tables import append_rows, read_if_present
+from ..session import checkpointed
+from . import commits
 
-_LOG = "_commits"
 
+def current_version(spark: SparkSession, root: str) -> int:
+    return commits.newest(spark, root).version
 
-_COMMIT = "version long, locations map<string, string>, committed_at timestamp"
 
+#: Buckets of a relation, fixed when it is first written.
+BUCKETS = 16
+_BUCKET = "_bucket"
 
-def _newest(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
-    """Newest committed version (0 before the first) and the folders of its relations."""
-    log = read_if_present(spark, f"{root}/{_LOG}", T.DataType.fromDDL(_COMMIT))
-    row = None if log is None else log.orderBy(F.desc("version")).first()
-    return (0, {}) if row is None else (row.version, dict(row.locations))
 
+def _bucket_of(name: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*schemas.CATALOG_KEYS[name]), F.lit(buckets)).cast("int")
 
-def current_version(spark: SparkSession, root: str) -> int:
-    return _newest(spark, root)[0]
+
+def _stored(
+    spark: SparkSession, root: str, name: str, commit: commits.Commit,
+    touched: Collection[int] | None = None,
+) -> DataFrame | None:
+    """A relation, or those of its buckets that are ``touched``; None when no commit wrote it."""
+    if name in commit.locations:  # written whole, before relations had buckets
+        return spark.read.option("mergeSchema", True).parquet(f"{root}/{commit.locations[name]}")
+    columns = commit.notes.get("columns", {}).get(name)
+    if columns is None:
+        return None
+    schema = T.StructType.fromJson(json.loads(columns))
+    places = [place for part, place in commit.locations.items()
+              if part.startswith(f"{name}/{_BUCKET}=")
+              and (touched is None or int(part.rpartition("=")[2]) in touched)]
+    if not places:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/{name}").parquet(
+        *[f"{root}/{place}" for place in places]).select(*schema.names)
 
 
 def read_relation(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """A relation as of the newest commit, None when no commit wrote it."""
-    place = _newest(spark, root)[1].get(name)
-    return None if place is None else read_if_present(spark, f"{root}/{place}")
+    return _stored(spark, root, name, commits.newest(spark, root))
 
 
 def merged_relation(stored: DataFrame | None, rows: DataFrame, name: str) -> DataFrame:
@@ -70,47 +88,41 @@ def merged_relation(stored: DataFrame | None, rows: DataFrame, name: str) -> Dat
 
 
 def commit_bundle(
-    spark: SparkSession, root: str, relations: Mapping[str, DataFrame]
+    spark: SparkSession, root: str, relations: Mapping[str, DataFrame], buckets: int = BUCKETS
 ) -> int:
     """Upsert every relation of a bundle and make all of them visible at once.
 
     A relation may carry an ``ordinal`` column: among rows with one key the highest wins, as if
-    they had been merged one after another. Relations the bundle does not bring stay where they
-    are.
+    they had been merged one after another. Relations the bundle does not bring, and buckets none of
+    its keys falls in, stay where they are.
     """
-    version, locations = _newest(spark, root)
+    before = commits.newest(spark, root)
+    version = commits.version_folder(before.version + 1)
+    locations = dict(before.locations)
+    notes = {"columns": {}, "buckets": {}} | {k: dict(v) for k, v in before.notes.items()}
     for name in schemas.CATALOG_KEYS:
         rows = relations.get(name)
         if rows is None:
             continue
-        place = locations.get(name)
-        stored = None if place is None else read_if_present(spark, f"{root}/{place}")
-        new = f"version={version + 1:08d}/{name}"
-        merged_relation(stored, rows, name).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").parquet(f"{root}/{new}")
-        locations[name] = new
-    commit = spark.createDataFrame(
-        [(version + 1, locations)], "version long, locations map<string, string>")
-    append_rows(commit.withColumn("committed_at", F.current_timestamp()), f"{root}/{_LOG}")
-    return version + 1
+        count = int(notes["buckets"].setdefault(name, str(buckets)))
+        rows = checkpointed(rows)  # read for its buckets, then for its rows
+        found = rows.select(_bucket_of(name, count)).distinct().collect()
+        merged = merged_relation(
+            _stored(spark, root, name, before, {r[0] for r in found}), rows, name)
+        place = f"{name}/{version}"
+        merged.withColumn(_BUCKET, _bucket_of(name, count)).hint(
+            "rebalance", F.col(_BUCKET)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy(_BUCKET).parquet(f"{root}/{place}")
+        for part in commits.listed(spark, f"{root}/{place}"):
+            if part.startswith(f"{_BUCKET}="):
+                locations[f"{name}/{part}"] = f"{place}/{part}"
+        locations.pop(name, None)
+        notes["columns"][name] = json.dumps(merged.schema.jsonValue())
+    commits.record(spark, root, before.version + 1, locations, notes=notes)
+    return before.version + 1
 
 
 def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete relation folders that none of the newest ``keep`` commits points to."""
-    log = read_if_present(spark, f"{root}/{_LOG}", T.DataType.fromDDL(_COMMIT))
-    if log is None:
-        return []
-    recent = log.orderBy(F.desc("version")).limit(keep).collect()
-    wanted = {place for row in recent for place in row.locations.values()}
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    removed = []
-    for version in system.listStatus(folder):
-        if not version.getPath().getName().startswith("version="):
-            continue
-        for relation in system.listStatus(version.getPath()):
-            place = f"{version.getPath().getName()}/{relation.getPath().getName()}"
-            if place not in wanted:
-                system.delete(relation.getPath(), True)
-                removed.append(place)
-    return sorted(removed)
+    """Delete bucket folders that none of the newest ``keep`` commits points to."""
+    return sorted(place for name in schemas.CATALOG_KEYS
+                  for place in commits.remove_old(spark, root, keep, f"{name}/"))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.merging import LOOKBACK_DAYS, dedupe_latest, merge_rows
 from ..operators.quality import check_not_null, check_unique, require
+from . import commits
 
 log = logging.getLogger(__name__)
 
@@ -42,44 +42,107 @@ def read_if_present(
         raise
 
 
+def _parts(spark: SparkSession, path: str, column: str | None = None) -> commits.Commit:
+    """The newest commit of a partitioned table.
+
+    A table written by other means, or before commits were kept, has none: its partitions are the
+    folders found, as version 0.
+    """
+    commit = commits.newest(spark, path)
+    if commit.version:
+        return commit
+    found = [n for n in commits.listed(spark, path)
+             if "=" in n and (column is None or n.startswith(f"{column}="))]
+    return commits.Commit(0, {name: name for name in found})
+
+
 def partition_days(spark: SparkSession, path: str, column: str = PARTITION_COLUMN) -> list[str]:
-    """Values of the partition column, from the names of the folders: no file is opened."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in system.listStatus(folder)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+    """Values of the partition column: no data file is opened."""
+    return sorted(name.split("=", 1)[1] for name in _parts(spark, path, column).locations
+                  if name.startswith(f"{column}="))
+
+
+def partition_places(
+    spark: SparkSession, path: str, note: str | None = None, column: str = PARTITION_COLUMN
+) -> dict[str, str]:
+    """Folder of each partition value, which changes when the partition is replaced.
+
+    With ``note`` those of a source instead, as the table's newest commit noted them.
+    """
+    commit = _parts(spark, path, column)
+    if note is not None:
+        return commit.notes.get(note, {})
+    return {name.split("=", 1)[1]: place for name, place in commit.locations.items()}
 
 
-def _columns_path(path: str) -> str:
-    return f"{path}/_columns"
+#: Partitions of committed versions lie below this folder, so nobody reads them by accident.
+_DATA = "_data"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """A partitioned table with every column it ever got, or None before the first write.
 
-    The columns are kept beside the data, so no footer has to be opened to merge schemas.
+    Partitions are taken from the folders the newest commit names. The columns are kept with the
+    commit, so no footer has to be opened to merge schemas.
     """
-    if not partition_days(spark, path):
+    commit = _parts(spark, path)
+    if not commit.locations:
         return None
-    kept = read_if_present(
-        spark, _columns_path(path), T.StructType([T.StructField("schema", T.StringType()),
-                                                  T.StructField("version", T.LongType())]))
-    row = None if kept is None else kept.orderBy(F.desc("version")).first()
-    if row is None:  # written by other means: all footers have to tell
+    if not commit.version:  # written by other means: all footers have to tell
         return read_if_present(spark, path)
-    return spark.read.schema(T.StructType.fromJson(json.loads(row.schema))).parquet(path)
+    schema = T.StructType.fromJson(json.loads(commit.columns))
+    read = None
+    for base in (f"{path}/{_DATA}", path):
+        places = [p for p in commit.locations.values()
+                  if p.startswith(f"{_DATA}/") == base.endswith(f"/{_DATA}")]
+        if not places:
+            continue
+        part = spark.read.schema(schema).option("basePath", base).parquet(
+            *[f"{path}/{place}" for place in places]).select(*schema.names)
+        read = part if read is None else read.unionByName(part)
+    return read
+
+
+def replace_partitions(
+    rows: DataFrame, path: str, partition: str = PARTITION_COLUMN, columns: T.StructType | None = None,
+    emptied: Sequence[str] = (), notes: Mapping[str, Mapping[str, str]] | None = None,
+    sort_by: Sequence[str] = (),
+) -> int:
+    """Replace the partitions that ``rows`` has values of, all at once, and return its rows.
+
+    New files go to a folder of their own; one commit record then points to them instead of the old
+    ones. A run that dies before its record leaves the table as it was, and can be repeated.
+    ``columns`` are those of the whole table where they are more; ``emptied`` are values whose
+    partitions go unless ``rows`` has them; ``notes`` are kept with the commit. Files are sorted by
+    ``sort_by``; columns after the first, whose values lie everywhere, get Bloom filters.
+    """
+    spark = rows.sparkSession
+    before = _parts(spark, path, partition)
+    folder = f"{_DATA}/{commits.version_folder(before.version + 1)}"
+    written, seen = counted(by_partition(rows, partition, sort_by))
+    (
+        written.write.mode("overwrite")
+        .options(**_bloom_options(sort_by[1:]))
+        .option("partitionOverwriteMode", "static")  # leftovers of a run without a record go
+        .partitionBy(partition)
+        .parquet(f"{path}/{folder}")
+    )
+    new = {name: f"{folder}/{name}" for name in commits.listed(spark, f"{path}/{folder}")
+           if name.startswith(f"{partition}=")}
+    kept = {name: place for name, place in before.locations.items()
+            if name not in {f"{partition}={value}" for value in emptied}}
+    schema = rows.schema if columns is None else columns
+    commits.record(spark, path, before.version + 1, kept | new, json.dumps(schema.jsonValue()),
+                   notes)
+    return seen.get["rows"]
 
 
-def _keep_columns(before: DataFrame | None, written: DataFrame, path: str) -> None:
-    """Note the table's columns when they changed."""
-    if before is not None and set(before.columns) == set(written.columns):
-        return
-    spark = written.sparkSession
-    row = (json.dumps(written.schema.jsonValue()), time.time_ns())
-    spark.createDataFrame([row], "schema string, version long").coalesce(1).write.mode(
-        "append").parquet(_columns_path(path))
+def remove_old_partitions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete files of partitions that none of the newest ``keep`` commits points to.
+
+    Readers that began before the commits that are kept lose their files.
+    """
+    return commits.remove_old(spark, path, keep, f"{_DATA}/")
 
 
 def rebuild(df: DataFrame, path: str) -> int:
@@ -92,13 +155,28 @@ def rebuild(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def by_partition(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
+def by_partition(
+    df: DataFrame, column: str = PARTITION_COLUMN, sort_by: Sequence[str] = ()
+) -> DataFrame:
     """Rows gathered by partition value before a partitioned write.
 
     Few files per partition, and adaptive execution splits the tasks of a value that holds
-    much more than the others.
+    much more than the others. With ``sort_by``, files are sorted by these columns, so that the
+    pages of a file hold narrow ranges of the first.
     """
-    return df.hint("rebalance", F.col(column))
+    gathered = df.hint("rebalance", F.col(column))
+    return gathered.sortWithinPartitions(column, *sort_by) if sort_by else gathered
+
+
+#: Distinct values of a column that a row group's Bloom filter is sized for.
+BLOOM_VALUES = 100_000
+
+
+def _bloom_options(columns: Sequence[str]) -> dict[str, str]:
+    """Filters that tell which row groups may hold a value of an unsorted column."""
+    return {
+        f"parquet.bloom.filter.{key}#{column}": value for column in columns
+        for key, value in (("enabled", "true"), ("expected.ndv", str(BLOOM_VALUES)))}
 
 
 def reload_landing(df: DataFrame, path: str, table: str, catalog_name: str | None = None) -> int:
@@ -137,6 +215,7 @@ def upsert_partitions(
     partition: str = PARTITION_COLUMN,
     protect: Sequence[str] = (),
     touched: DataFrame | None = None,
+    sort_by: Sequence[str] = (),
 ) -> int:
     """Upsert into a partitioned table, rewriting only the partitions the source touches.
 
@@ -145,9 +224,8 @@ def upsert_partitions(
 
     The key must fix the partition, as a key that contains the date does. The first run writes
     everything. Columns new in the source are appended; in partitions that are not touched
-    they read as NULL. Running it again with the same source changes nothing. A run that dies
-    while the job is committed can leave a partition without rows the source doesn't bring;
-    keep the source's full partitions, or a copy of the table, until it has returned.
+    they read as NULL. Running it again with the same source changes nothing. All partitions change
+    at once, with a commit record after the files (see ``replace_partitions``).
     ``touched`` may name a cheaper DataFrame that has at least the source's partition values.
     """
     target = read_table(source.sparkSession, path)
@@ -156,21 +234,13 @@ def upsert_partitions(
         if not partition_days(source.sparkSession, path, partition):
             raise ValueError(f"{path} is not partitioned by {partition}")
         # The values of the partition column are few (days) and become a literal filter, so
-        # files of other partitions are not even listed for the scan.
+        # files of other partitions are not scanned.
         found = (source if touched is None else touched).select(partition).distinct()
         days = [row[0] for row in found.collect()]
         current = target.where(F.col(partition).isin(days))
         on = [partition, *[k for k in keys if k != partition]]
         rows = merge_rows(current, rows, on, protect)
-    written, seen = counted(by_partition(rows, partition))
-    (
-        written.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    _keep_columns(target, rows, path)
-    return seen.get["rows"]
+    return replace_partitions(rows, path, partition, sort_by=sort_by)
 
 
 def incremental_build(
@@ -180,6 +250,7 @@ def incremental_build(
     keys: Sequence[str],
     order_by: Sequence[Column],
     partition: str = PARTITION_COLUMN,
+    sort_by: Sequence[str] = (),
 ) -> int:
     """Build ``model`` over the positions the target has not settled yet, then upsert it.
 
@@ -192,11 +263,16 @@ def incremental_build(
     if days:
         first = date.fromisoformat(days[-1]) - timedelta(days=LOOKBACK_DAYS)
         fresh = positions.where(F.col(partition) >= F.lit(first))
+    nothing = fresh.isEmpty()
+    if nothing and days:
+        return 0
     read, arrived = counted(fresh)
     unique, kept = counted(dedupe_latest(read, keys, order_by))
     written = upsert_partitions(
-        model(unique), path, keys, None, partition, touched=fresh.select(partition))
-    copies = arrived.get["rows"] - kept.get["rows"]
+        model(unique), path, keys, None, partition, touched=fresh.select(partition),
+        sort_by=sort_by)
+    # A plan without rows is cut short, and counts nothing.
+    copies = 0 if nothing else arrived.get["rows"] - kept.get["rows"]
     if copies:
         log.warning("%s: %d copies of positions left out", path, copies)
     return written
