@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.values import once
+from .quoted import quoted_records
 
 MALFORMED = "_malformed_record"
 #: A comma that is not inside double quotes. Looks ahead at every comma: for short lines.
@@ -117,22 +118,18 @@ def split_rejects(records: DataFrame, table: str) -> tuple[DataFrame, DataFrame]
 def read_external(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
     """CSV as an external text table: quoted newlines allowed, bad records never fail the scan.
 
-    Returns good rows and rejects. Quoted newlines make a file unsplittable, so a large feed
-    should come as many files.
+    Returns good rows and rejects. A large file is read by many tasks, quoted newlines or not (see
+    ``quoted_records``).
     """
-    records = (
-        spark.read.schema(_text_ddl(table))
-        .options(
-            header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE",
-            columnNameOfCorruptRecord=MALFORMED,
-        )
-        .csv(path)
-    )
-    return split_rejects(records, table)
+    return parse_lines(quoted_records(spark, path), "record", table, multi_line=True)
 
 
-def parse_lines(lines: DataFrame, column: str, table: str) -> tuple[DataFrame, DataFrame]:
+def parse_lines(
+    lines: DataFrame, column: str, table: str, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """The same rules for CSV records that already are rows of text."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    if multi_line:
+        options |= {"quote": '"', "escape": '"', "multiLine": "true"}
     parsed = once(lines, F.from_csv(column, _text_ddl(table), options), "_record")
     return split_rejects(parsed.select("_record.*"), table)
