@@ -10,7 +10,6 @@ from ..functions import text as x
 from ..functions.projects import ProjectRules
 from ..functions.values import cut, first_filled, once
 from ..operators.sequences import latest_before
-from ..session import checkpointed
 
 NAME_LENGTH, ENDPOINT_LENGTH, DESCRIPTION_LENGTH = 256, 520, 2000
 #: Steps of one flow that are looked at together when setters are searched.
@@ -52,41 +51,73 @@ def _documents(corpus: DataFrame) -> DataFrame:
     )
 
 
-def _entries(nodes: DataFrame, entry: Column) -> DataFrame:
-    """Parse entries and keep the folders and requests among them."""
-    parsed = once(nodes.select("path", "flow_key", "at", entry.alias("_entry")),
-                  F.col("_entry"), "entry")
-    wanted = F.col("entry.item").isNotNull() | F.col("entry.request").isNotNull()
-    return parsed.where(wanted).select("path", "flow_key", "at", "entry")
+#: What is left of JSON text without its strings and all but the brackets of its arrays.
+NO_BRACKET = r'"(?:[^"\\]++|\\.)*+"|[^\[\]]++'
+
+
+def _nesting(documents: DataFrame) -> int:
+    """How deep arrays are nested in any document, which folders cannot exceed."""
+    brackets = F.split(F.regexp_replace("content", NO_BRACKET, ""), "")
+    depth = F.aggregate(
+        F.filter(brackets, lambda c: c != ""),
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda d, c: F.struct(
+            F.when(c == "[", d.now + 1).otherwise(d.now - 1).alias("now"),
+            F.greatest(d.most, F.when(c == "[", d.now + 1).otherwise(d.now)).alias("most")),
+        lambda d: d.most)
+    return documents.agg(F.max(depth)).first()[0] or 0
+
+
+def _opened(nodes: DataFrame) -> DataFrame:
+    """Nodes with folders replaced by what they hold; other nodes stay."""
+    inside = F.try_variant_get("node", "$.item", "array<variant>")
+    found = once(nodes, inside, "inside")
+    deeper = F.transform("inside", lambda node, i: F.struct(
+        F.concat("at", F.array(i)).alias("at"), node.alias("node")))
+    stays = F.array(F.struct("at", "node"))
+    return found.select(
+        "path", "flow_key", F.explode(F.when(F.col("inside").isNull(), stays).otherwise(deeper))
+        .alias("_child")).select("path", "flow_key", "_child.*")
+
+
+def _request(node: str) -> Column:
+    """The parts of a request that are used, as text."""
+    def part(path: str) -> Column:
+        return F.try_variant_get(node, path, "string")
+
+    events = F.transform(
+        F.try_variant_get(node, "$.event", "array<variant>"),
+        lambda e: F.struct(F.struct(F.try_variant_get(e, "$.script.exec", "string").alias("exec"))
+                           .alias("script")))
+    return F.struct(
+        part("$.name").alias("name"),
+        F.struct(part("$.request.method").alias("method"), part("$.request.url").alias("url"))
+        .alias("request"), events.alias("event"))
 
 
 def flow_requests(corpus: DataFrame) -> DataFrame:
     """Requests of the readable collections, numbered depth first across nested folders.
 
-    Each round opens one level of folders in all documents at once; the loop ends when no
-    document has a folder left, so it takes as many rounds as the deepest nesting. Requests found
-    are set aside, and every level is written to the shared folder (see ``checkpointed``), so an
-    entry is parsed once and the rounds only read folders that are still closed. A request is
-    ordered by its positions along the way, and only requests of one document are sorted together.
+    Every entry of a collection is parsed once, into a variant. Each round opens one level of
+    folders in all documents at once and leaves requests as they are. The rounds follow one another
+    in the tasks that read the documents: nothing is parsed again, written or shuffled between
+    them. There are as many as arrays are nested in any document, which one pass over the text
+    tells first. A request is ordered by its positions along the way, and only requests of one
+    document are sorted together.
     """
-    parse = F.from_json("text", schemas.COLLECTION_ITEM)
-    top = _documents(corpus).select(
-        "path", "flow_key", F.posexplode("items").alias("position", "text")
-    )
-    level = checkpointed(_entries(top.withColumn("at", F.array("position")), parse))
-    folder = F.col("entry.item").isNotNull()
-    nodes, folders = level.where(~folder), level.where(folder)
-    while not folders.isEmpty():
-        opened = folders.select(
-            "path", "flow_key", "at", F.posexplode("entry.item").alias("position", "text"))
-        deeper = F.concat("at", F.array("position"))
-        level = checkpointed(_entries(opened.withColumn("at", deeper), parse))
-        nodes, folders = nodes.union(level.where(~folder)), level.where(folder)
+    documents = _documents(corpus)
+    nodes = documents.select("path", "flow_key", F.posexplode("items").alias("position", "text"))
+    nodes = once(nodes, F.try_parse_json("text"), "node").select(
+        "path", "flow_key", F.array("position").alias("at"), "node")
+    for _ in range(_nesting(corpus.where("content is not null")) - 1):
+        nodes = _opened(nodes)
+    asked = F.try_variant_get("node", "$.request", "variant")
+    requests = nodes.where(
+        asked.isNotNull() & ~F.is_variant_null(asked)
+        & F.try_variant_get("node", "$.item", "array<variant>").isNull())
     in_order = Window.partitionBy("path").orderBy("at")
-    return nodes.select(
-        "path", "flow_key", F.row_number().over(in_order).cast("bigint").alias("step_order"),
-        F.col("entry").alias("item"),
-    )
+    return once(requests, _request("node"), "item").select(
+        "path", "flow_key", F.row_number().over(in_order).cast("bigint").alias("step_order"), "item")
 
 
 def _walk_order() -> Column:

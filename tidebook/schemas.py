@@ -154,10 +154,6 @@ SPEC_OPERATION = f"""
     responses map<string, struct<description: string>>
 """
 COLLECTION_DOC = "info struct<name: string, description: string>, item array<string>"
-COLLECTION_ITEM = """
-    name string, item array<string>, request struct<method: string, url: string>,
-    event array<struct<script: struct<exec: string>>>
-"""
 MANIFEST_DOC = """
     nodes map<string, string>,
     sources map<string, struct<name: string, schema: string, source_name: string>>
