@@ -313,6 +313,58 @@ def test_scheduler_database_options():
     assert "LIMIT" not in scheduler.jdbc_options("postgres://db/air", "dag")["query"]
 
 
+def test_scheduler_database_in_parts(monkeypatch):
+    """What the reader is asked for; no database is started."""
+    asked = []
+
+    class Reader:
+        def __getattr__(self, name):
+            def call(*args, **kwargs):
+                asked.append((name, args, kwargs))
+                return self
+            return call
+
+    class Session:
+        read = Reader()
+
+    fetch = scheduler.open_source(Session(), "postgresql://u:p@db:5433/air", parts=4)
+    fetch("dag_tag")
+    (name, args, kwargs), select = asked
+    assert (name, args) == ("jdbc", ("jdbc:postgresql://db:5433/air", "dag_tag"))
+    assert kwargs["predicates"] == [f"abs(hashtext(dag_id) % 4) = {i}" for i in range(4)]
+    assert kwargs["properties"] == {
+        "driver": "org.postgresql.Driver", "user": "u", "password": "p"}
+    assert select[:2] == ("select", ("dag_id", "name"))
+    asked.clear()
+    fetch("task_instance", 10)
+    assert [a[0] for a in asked] == ["format", "options", "load"]
+    assert asked[1][2]["query"].endswith("LIMIT 10")
+
+
+def test_collections_are_walked_without_parsing_again(spark, tmp_path, rows):
+    """Deep folders next to flat files, in one stage without a shuffle up to the numbering."""
+    deep = request("bottom", "/deep")
+    for level in range(12):
+        deep = {"name": f"f{level}", "item": [request(f"r{level}", f"/{level}"), deep]}
+    corpus = documents.read_collection_corpus(spark, write(tmp_path, {
+        "deep.postman_collection.json": {"info": {"name": "deep"}, "item": [deep]},
+        "flat.postman_collection.json": {"info": {"name": "flat"}, "item": [
+            request("a [b", "/x]"), {"name": 7, "request": {"url": {"raw": "/y"}}},
+            {"request": None}, None, "text", {"item": {}}]},
+    }))
+    requests = collections.flow_requests(corpus)
+    plan = requests._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("try_parse_json") + plan.count(
+        "parse_json") <= 2
+    steps = collections.flow_steps(collections.request_steps(requests))
+    found = rows(steps, "flow_key", "step_order", "label", "endpoint_key")
+    found.sort(key=lambda f: f[:2])
+    assert [f for f in found if f[0] == "flat"] == [
+        ("flat", 1, "a [b", "GET /x]"), ("flat", 2, "7", "GET /y")]
+    assert [f[2] for f in found if f[0] == "deep"] == [
+        *[f"r{i}" for i in range(11, -1, -1)], "bottom"]
+
+
 def test_bundles_name_known_relations(spec_corpus, collection_corpus, manifest_corpora):
     from tidebook.schemas import CATALOG_KEYS
 

@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 from decimal import Decimal as D
 
@@ -12,8 +13,9 @@ from tidebook.operators.quality import QualityError
 from tidebook.plans import positions as medallion
 from tidebook.plans import report, synthetic
 from tidebook.plans.run_recording import RunRecorder
-from tidebook.sinks import bundles, tables
-from tidebook.sources import runs
+from tidebook.operators import marts
+from tidebook.sinks import bundles, commits, tables
+from tidebook.sources import quoted, runs
 from tidebook.sources import tables as feeds
 from tidebook.streaming.landing import stream_landing, upsert_stream
 
@@ -46,7 +48,7 @@ def test_medallion_build_is_incremental(spark, tmp_path, rows):
                        "exposure_by_asset_class": 3}
 
     def silver():
-        return rows(spark.read.parquet(layout.silver), "position_hash", "market_value")
+        return rows(tables.read_table(spark, layout.silver), "position_hash", "market_value")
 
     before = silver()
     medallion.build(spark, layout, recorder)
@@ -86,6 +88,28 @@ def test_recorder_records_failures(spark, tmp_path):
     assert (row.status, row.rows_processed) == ("ERROR", None)
 
 
+def test_recorder_sums_the_stages_of_a_run(spark, tmp_path):
+    data, stats = f"{tmp_path}/data", f"{tmp_path}/stats"
+    spark.range(5000).selectExpr("id", "id % 7 AS k").write.parquet(data)
+    recorder = RunRecorder(spark, stats)
+
+    def write():
+        df = spark.read.parquet(data).groupBy("k").count()
+        return tables.rebuild(df, f"{tmp_path}/out")
+
+    recorder.run("m", "table", write)
+    recorder.run("nothing", "view", lambda: 0)
+    spark.range(10).count()  # belongs to no run
+    found = {r.model_name: r for r in runs.read_run_stats(spark, stats).collect()}
+    row = found["m"]
+    assert row.cpu_seconds > 0 and row.pga_peak_bytes > 0 and row.physical_reads_bytes > 0
+    # 5000 rows read, and at least a row per key from the shuffle.
+    assert 5000 + 7 <= row.logical_reads <= 5000 + 7 * 20
+    assert row.redo_size_bytes > 0 and row.rows_processed == 7
+    assert found["nothing"].cpu_seconds is None
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
 def test_recorder_takes_counters(spark, tmp_path):
     counters = spark.createDataFrame([(1, 7, 250), (1, 8, 99)],
                                      "sid int, statistic_id int, value long")
@@ -113,14 +137,167 @@ def test_upsert_rewrites_only_touched_partitions_and_appends_columns(spark, tmp_
         return tables.upsert_partitions(df, path, ["id"], [F.col("v").desc()])
 
     upsert(batch([("a", "2025-01-01", 1), ("b", "2025-01-02", 2)]))
-    files = set((tmp_path / "t" / "as_of_date=2025-01-01").iterdir())
+    before = tables.partition_places(spark, path)
     upsert(batch([("b", "2025-01-02", None, "n"), ("c", "2025-01-02", 3, "n"),
                   ("c", "2025-01-02", 9, "m")], ", w string"))
-    assert set((tmp_path / "t" / "as_of_date=2025-01-01").iterdir()) == files
-    stored = tables.read_if_present(spark, path)
+    after = tables.partition_places(spark, path)
+    assert [day for day in after if after[day] != before[day]] == ["2025-01-02"]
+    stored = tables.read_table(spark, path)
     assert rows(stored, "id", "v", "w") == [("a", 1, None), ("b", None, "n"), ("c", 9, "m")]
 
 
+def dated(spark, *data):
+    df = spark.createDataFrame(list(data), "id string, as_of_date string, v int")
+    return df.withColumn("as_of_date", F.col("as_of_date").cast("date"))
+
+
+def test_upsert_is_seen_whole_or_not_at_all(spark, tmp_path, rows, monkeypatch):
+    """The write dies after all files are in place and before the commit record."""
+    path = f"{tmp_path}/t"
+
+    def upsert(*data):
+        return tables.upsert_partitions(dated(spark, *data), path, ["id"], [F.col("v").desc()])
+
+    assert tables.read_table(spark, path) is None
+    first = [("a", "2025-01-01", 1), ("b", "2025-01-02", 2)]
+    upsert(*first)
+    changes = [("a", "2025-01-01", 10), ("c", "2025-01-02", 3), ("d", "2025-01-03", 4)]
+    with monkeypatch.context() as broken:
+        def dies(*_):
+            raise KeyboardInterrupt
+
+        broken.setattr(commits, "record", dies)
+        with pytest.raises(KeyboardInterrupt):
+            upsert(*changes)
+    assert list((tmp_path / "t" / "_data" / "version=00000002").glob("*/*.parquet"))
+    assert rows(tables.read_table(spark, path), "id", "v") == [("a", 1), ("b", 2)]
+    assert tables.partition_days(spark, path) == ["2025-01-01", "2025-01-02"]
+
+    # Other data than that of the dead run: nothing of its files may stay.
+    upsert(("e", "2025-01-03", 5))
+    assert rows(tables.read_table(spark, path), "id", "v") == [("a", 1), ("b", 2), ("e", 5)]
+    upsert(*changes)
+    whole = [("a", 10), ("b", 2), ("c", 3), ("d", 4), ("e", 5)]
+    assert rows(tables.read_table(spark, path), "id", "v") == whole
+    # Readers of an earlier version keep their files until these are removed.
+    assert tables.remove_old_partitions(spark, path, keep=1) == [
+        "_data/version=00000001/as_of_date=2025-01-01",
+        "_data/version=00000001/as_of_date=2025-01-02",
+        "_data/version=00000002/as_of_date=2025-01-03"]
+    assert rows(tables.read_table(spark, path), "id", "v") == whole
+
+
+def test_upsert_into_a_table_written_by_other_means(spark, tmp_path, rows):
+    path = f"{tmp_path}/t"
+    dated(spark, ("a", "2025-01-01", 1), ("b", "2025-01-02", 2)).write.partitionBy(
+        "as_of_date").parquet(path)
+    tables.upsert_partitions(
+        dated(spark, ("b", "2025-01-02", 5), ("c", "2025-01-03", 6)), path, ["id"], None)
+    found = tables.read_table(spark, path)
+    assert rows(found, "id", "v") == [("a", 1), ("b", 5), ("c", 6)]
+    assert rows(found.where("as_of_date = '2025-01-01'"), "id") == [("a",)]
+    assert tables.partition_places(spark, path)["2025-01-01"] == "as_of_date=2025-01-01"
+
+
+def test_marts_follow_the_changed_days_only(spark, tmp_path, rows):
+    layout = medallion.Layout(str(tmp_path))
+    days = [f"2025-01-{d:02d}" for d in (2, 3, 6, 7, 8)]
+    first = [position(d, a, "S", str(10 + i)) for i, d in enumerate(days) for a in "AB"
+             if (d, a) != ("2025-01-07", "B")]
+    land(spark, tmp_path, first)
+    medallion.build(spark, layout)
+    nav, exposure = (layout.gold(m) for m in ("nav_by_account_daily", "exposure_by_asset_class"))
+
+    def mart(path):
+        return rows(tables.read_table(spark, path).drop("dbt_built_at"))
+
+    def changed(path, before):
+        places = tables.partition_places(spark, path)
+        return sorted(d for d, p in places.items() if before.get(d) != p)
+
+    before = {p: tables.partition_places(spark, p) for p in (nav, exposure)}
+    # One new account on the sixth; the next day it has is not rolled up again but follows on it.
+    late = [position("2025-01-06", "A", "C", "5"), position("2025-01-07", "B", "S", "3")]
+    silver = tables.read_table(spark, layout.silver)
+    tables.upsert_partitions(
+        enrich_positions(
+            stage_positions(spark.createDataFrame(late, schemas.landing_schema("positions_raw"))),
+            stage_securities(spark.createDataFrame([security("S"), security("C", "CASH")],
+                                                   schemas.landing_schema("securities"))),
+            stage_accounts(spark.createDataFrame([account("A"), account("B")],
+                                                 schemas.landing_schema("accounts")))),
+        layout.silver, ["position_hash"], None)
+    assert silver.count() == 9
+    land(spark, tmp_path, first[:1])  # older than the look-back: silver stays as it is
+    medallion.build(spark, layout)
+    assert changed(nav, before[nav]) == ["2025-01-06", "2025-01-07", "2025-01-08"]
+    assert changed(exposure, before[exposure]) == ["2025-01-06", "2025-01-07"]
+    found = [mart(nav), mart(exposure)]
+    medallion.build(spark, layout)  # nothing came: nothing is written
+    assert [mart(nav), mart(exposure)] == found
+    medallion.build(spark, layout, full_marts=True)
+    assert [mart(nav), mart(exposure)] == found
+
+
+def test_refresh_reads_only_the_changed_days(spark, tmp_path):
+    from datetime import date as day
+
+    path = f"{tmp_path}/silver"
+    land(spark, tmp_path, [position(f"2025-01-{d:02d}", "A", "S", "1") for d in (2, 3, 6)])
+    layout = medallion.Layout(str(tmp_path))
+    medallion.build(spark, layout)
+    assert path in layout.silver
+    silver = tables.read_table(spark, layout.silver)
+    rolled = marts.nav_rollup(silver.where(F.col("as_of_date").isin([day(2025, 1, 3)])))
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [as_of_date" in plan or "2025-01-03" in plan
+    assert len(rolled.inputFiles()) == 3 and rolled.count() == 1
+
+
+def test_one_account_or_security_is_found_without_reading_the_day(spark, tmp_path):
+    path = f"{tmp_path}/silver"
+    rows_of = spark.range(60_000).selectExpr(
+        "date'2025-01-01' AS as_of_date", "format_string('A%05d', id * 7919 % 3000) AS account_id",
+        "format_string('S%05d', id * 104729 % 20000 * 2) AS security_id", "id AS v")
+    spark.conf.set("parquet.block.size", str(64 * 1024))
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.set("parquet.block.size", str(64 * 1024))
+    settings.set("parquet.page.row.count.limit", "500")
+    try:
+        tables.replace_partitions(rows_of, path, sort_by=["account_id", "security_id"])
+    finally:
+        spark.conf.unset("parquet.block.size")
+        for key in ("parquet.block.size", "parquet.page.row.count.limit"):
+            settings.unset(key)
+
+    def scanned(condition):
+        found = tables.read_table(spark, path).where(condition)
+        # The filter above the scan is left out: what the reader lets through is counted.
+        counted = found.groupBy().count()
+        n = counted.collect()[0][0]
+        plans, out = [counted._jdf.queryExecution().executedPlan()], 0
+        while plans:
+            plan = plans.pop()
+            kind = plan.getClass().getSimpleName()
+            if kind == "AdaptiveSparkPlanExec":
+                plans.append(plan.executedPlan())
+            elif kind.endswith("QueryStageExec"):
+                plans.append(plan.plan())
+            elif kind == "FileSourceScanExec":
+                out += plan.metrics().apply("numOutputRows").value()
+            else:
+                plans += [plan.children().apply(i) for i in range(plan.children().size())]
+        return n, out
+
+    whole = scanned("v >= 0")
+    assert whole == (60_000, 60_000)
+    n, read = scanned("account_id = 'A01234'")
+    assert n == 20 and read < 6_000
+    # A value within the bounds of every row group that no group holds.
+    n, read = scanned("security_id = 'S20001'")
+    assert n == 0 and read < 6_000
+
+
 def test_upsert_stream_matches_batches(spark, tmp_path, rows):
     path, landing = f"{tmp_path}/silver", f"{tmp_path}/landing"
     schema = schemas.landing_schema("positions_raw")
@@ -144,7 +321,7 @@ def test_upsert_stream_matches_batches(spark, tmp_path, rows):
     run()
     arrive(position("2025-01-03", "A", "S", "3"))
     run()
-    found = rows(spark.read.parquet(path), "position_hash", "market_value")
+    found = rows(tables.read_table(spark, path), "position_hash", "market_value")
     assert found == [("2025-01-02|A|S", D("1.00")), ("2025-01-03|A|S", D("3.00"))]
 
 
@@ -174,13 +351,53 @@ def test_bundle_is_visible_at_once_and_protects_columns(spark, tmp_path, rows):
     assert rows(first) == [("a", "Late", "k2")]
 
     # A job that dies before its commit leaves nothing to see.
-    sources(("z", "Z", "k", 1)).write.parquet(f"{root}/version=00000003/api_sources")
+    sources(("z", "Z", "k", 1)).write.parquet(f"{root}/api_sources/version=00000003/_bucket=1")
     assert bundles.current_version(spark, root) == 2
     assert bundles.read_relation(spark, root, "api_sources").count() == 2
     assert bundles.commit_bundle(spark, root, {}) == 3
     assert bundles.read_relation(spark, root, "api_sources").count() == 2
 
 
+def test_commit_rewrites_only_the_buckets_of_its_keys(spark, tmp_path, rows):
+    root = str(tmp_path)
+
+    def commit(*data):
+        return bundles.commit_bundle(spark, root, {"api_sources": spark.createDataFrame(
+            list(data), "source_id string, display_name string, kind string")}, buckets=8)
+
+    def places():
+        return {part: place for part, place in commits.newest(spark, root).locations.items()}
+
+    commit(*[(f"s{i}", f"name {i}", "old") for i in range(60)])
+    before = places()
+    assert len(before) == 8
+    commit(("s7", "another name", "new"), ("s7b", "brand new", "new"))
+    after = places()
+    changed = [part for part in after if after[part] != before[part]]
+    assert 1 <= len(changed) <= 2
+    found = {r[0]: tuple(r[1:]) for r in rows(bundles.read_relation(spark, root, "api_sources"))}
+    expected = {f"s{i}": (f"name {i}", "old") for i in range(60)}
+    assert found == expected | {"s7": ("name 7", "new"), "s7b": ("brand new", "new")}
+    # Nothing but the buckets written twice can be removed.
+    assert bundles.remove_old_versions(spark, root, keep=1) == sorted(before[p] for p in changed)
+    assert bundles.read_relation(spark, root, "api_sources").count() == 61
+    assert bundles.commit_bundle(spark, root, {"api_flows": spark.createDataFrame(
+        [], "flow_key string, flow_name string")}) == 3
+    assert bundles.read_relation(spark, root, "api_flows").columns == ["flow_key", "flow_name"]
+    assert places() == after
+
+
+def test_a_relation_written_whole_is_cut_into_buckets(spark, tmp_path, rows):
+    root = str(tmp_path)
+    flows = spark.createDataFrame([("f", "F"), ("g", "G")], "flow_key string, flow_name string")
+    flows.write.parquet(f"{root}/version=00000001/api_flows")
+    commits.record(spark, root, 1, {"api_flows": "version=00000001/api_flows"})
+    assert rows(bundles.read_relation(spark, root, "api_flows")) == [("f", "F"), ("g", "G")]
+    bundles.commit_bundle(spark, root, {"api_flows": spark.createDataFrame(
+        [("g", "new")], "flow_key string, flow_name string")})
+    assert rows(bundles.read_relation(spark, root, "api_flows")) == [("f", "F"), ("g", "new")]
+
+
 HEADER = ",".join(schemas.FEED_COLUMNS["accounts"])
 
 
@@ -226,6 +443,50 @@ def test_external_table_rules(spark, tmp_path, rows):
     ]
 
 
+@pytest.fixture
+def small_ranges(spark):
+    """Files are cut into byte ranges of half a kilobyte."""
+    settings = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "0"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_quoted_records_across_ranges(spark, tmp_path, rows, small_ranges, seed):
+    draw = random.Random(seed)
+    cells = ["x", "", '"a,b"', '"line\nend"', '"say ""hi""\n\n, yes"', '""', '5" pipe', 'it"s "odd"',
+             '"' + "long\n" * draw.choice([3, 300]) + '"', '"\n""\n"', "plain text"]
+    for k in range(3):
+        lines = [",".join([str(i), *draw.choices(cells, k=3)]) for i in range(200)]
+        (tmp_path / f"f{k}.csv").write_text(
+            "id,a,b,c\n" + "".join(f"{x}\n{chr(10) * (i % 50 == 0)}" for i, x in enumerate(lines)))
+    schema = "id int, a string, b string, c string"
+    records = quoted.quoted_records(spark, str(tmp_path))
+    lines = quoted._lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() > 20
+    assert lines.select("file", "start").distinct().count() > 20
+    ours = records.select(F.from_csv("record", schema, {
+        "quote": '"', "escape": '"', "multiLine": "true"}).alias("r")).select("r.*")
+    plain = spark.read.schema(schema).options(
+        header=True, quote='"', escape='"', multiLine=True).csv(str(tmp_path))
+    assert ours.count() == 600
+    assert rows(ours) == rows(plain)
+
+
+def test_quoted_records_at_odd_ends(spark, tmp_path, rows, small_ranges):
+    (tmp_path / "a.csv").write_text('h1,h2\r\n1,"x\r\ny"\r\n\r\n2,z')
+    (tmp_path / "b.csv").write_text("h1,h2\n")
+    (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text('h1,h2\n3,"never closed\n' + "4,more\n" * 400)
+    found = {r.record[:1]: r.record for r in quoted.quoted_records(spark, str(tmp_path)).collect()}
+    assert sorted(found) == ["1", "2", "3"]
+    assert (found["1"], found["2"]) == ('1,"x\r\ny"', "2,z")
+    assert found["3"].count("4,more") == 400
+
+
 def test_run_files(spark, tmp_path, rows):
     with pytest.raises(runs.NoRunFiles):
         (tmp_path / "none").mkdir()
@@ -245,6 +506,30 @@ def test_run_files(spark, tmp_path, rows):
     assert found.where("run_id = 'r2'").first().other_columns == {"note": "hi"}
 
 
+@pytest.mark.parametrize("width", [65, 68, 500, 3000])
+def test_run_files_of_any_width(spark, tmp_path, rows, width):
+    names = ["run_id", "model_name", *[f"c{i}" for i in range(width - 3)], "rows_processed"]
+    body = "," * (width - 4)
+    (tmp_path / "wide.csv").write_text("\n".join([
+        ",".join(names), f'r1,"a ""b"", \n c",x{body},7', f"r2,m,{body},8,", f"r3,m,{body},9,more",
+        f'r4,"open,{body},1', "r5", "", f"r6, m , y{body}, 12 "]) + "\n")
+    found = runs.read_run_files(spark, str(tmp_path))
+    assert rows(found, "run_id", "model_name", "rows_processed") == [
+        ("r1", 'a "b", \n c', 7), ("r2", "m", 8), ("r4", '"open', 1), ("r5", None, None),
+        ("r6", "m", 12)]
+    other = {r.run_id: r.other_columns for r in found.collect()}
+    assert all(len(o) == width - 3 for o in other.values())
+    assert (other["r1"]["c0"], other["r6"]["c0"]) == ("x", "y")
+    files = spark.read.text(str(tmp_path), wholetext=True)
+    assert [r.record[:2] for r in runs.run_file_rejects(files).collect()] == ["r3"]
+
+
+def test_run_file_with_a_name_given_twice(spark, tmp_path, rows):
+    (tmp_path / "twice.csv").write_text("run_id,note,model_name,note\nr,first,m,last\n")
+    [row] = runs.read_run_files(spark, str(tmp_path)).collect()
+    assert (row.run_id, row.model_name, row.other_columns) == ("r", "m", {"note": "last"})
+
+
 def test_run_artifact_and_pod_metrics(spark, tmp_path, rows, caplog):
     pods = tmp_path / "pods"
     assert runs.read_pod_metrics(spark, str(pods)).count() == 0
