@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -55,8 +55,15 @@ def _documents(corpus: DataFrame) -> DataFrame:
 NO_BRACKET = r'"(?:[^"\\]++|\\.)*+"|[^\[\]]++'
 
 
+#: Documents with at most so many lists of entries are not looked into for how these are nested.
+FEW_LISTS = 4
+
+
 def _nesting(documents: DataFrame) -> int:
-    """How deep arrays are nested in any document, which folders cannot exceed."""
+    """How deep lists of entries may be nested in any document.
+
+    As deep as there are lists, or, where there are many, as deep as arrays of any kind are nested.
+    """
     brackets = F.split(F.regexp_replace("content", NO_BRACKET, ""), "")
     depth = F.aggregate(
         F.filter(brackets, lambda c: c != ""),
@@ -65,59 +72,60 @@ def _nesting(documents: DataFrame) -> int:
             F.when(c == "[", d.now + 1).otherwise(d.now - 1).alias("now"),
             F.greatest(d.most, F.when(c == "[", d.now + 1).otherwise(d.now)).alias("most")),
         lambda d: d.most)
-    return documents.agg(F.max(depth)).first()[0] or 0
-
-
-def _opened(nodes: DataFrame) -> DataFrame:
-    """Nodes with folders replaced by what they hold; other nodes stay."""
-    inside = F.try_variant_get("node", "$.item", "array<variant>")
-    found = once(nodes, inside, "inside")
-    deeper = F.transform("inside", lambda node, i: F.struct(
-        F.concat("at", F.array(i)).alias("at"), node.alias("node")))
-    stays = F.array(F.struct("at", "node"))
-    return found.select(
-        "path", "flow_key", F.explode(F.when(F.col("inside").isNull(), stays).otherwise(deeper))
-        .alias("_child")).select("path", "flow_key", "_child.*")
-
-
-def _request(node: str) -> Column:
-    """The parts of a request that are used, as text."""
-    def part(path: str) -> Column:
-        return F.try_variant_get(node, path, "string")
-
-    events = F.transform(
-        F.try_variant_get(node, "$.event", "array<variant>"),
-        lambda e: F.struct(F.struct(F.try_variant_get(e, "$.script.exec", "string").alias("exec"))
-                           .alias("script")))
+    lists = F.regexp_count("content", F.lit(r'"item"\s*:'))
+    counted = once(documents.select("content"), lists, "lists")
+    return counted.agg(F.max(F.when(F.col("lists") <= FEW_LISTS, F.col("lists")).otherwise(
+        F.least(F.col("lists"), depth)))).first()[0] or 0
+
+
+def _inside(node: Column) -> Column:
+    """What a folder holds; NULL for anything else."""
+    return F.try_variant_get(node, "$.item", "array<variant>")
+
+
+def _request(node: Column) -> Column:
+    """The parts of a request that are used: its name, method, address and script texts.
+
+    The JSON form of a URL has the address under ``raw``. A script is a list of lines, or one text.
+    """
+    def part(path: str, kind: str = "string", of=node) -> Column:
+        return F.try_variant_get(of, path, kind)
+
+    url, parts = part("$.request.url"), part("$.request.url", "map<string,variant>")
+    # An address may itself begin with a template variable; only an object has no other text.
+    nothing = url.startswith("{") & parts.isNotNull()
+    address = F.coalesce(part("$.request.url.raw"), F.when(~nothing, url))
+    scripts = F.transform(
+        part("$.event", "array<variant>"),
+        lambda e: F.coalesce(F.array_join(part("$.script.exec", "array<string>", e), ""),
+                             part("$.script.exec", of=e)))
     return F.struct(
-        part("$.name").alias("name"),
-        F.struct(part("$.request.method").alias("method"), part("$.request.url").alias("url"))
-        .alias("request"), events.alias("event"))
+        part("$.name").alias("name"), part("$.request.method").alias("method"),
+        address.alias("address"), scripts.alias("scripts"))
 
 
 def flow_requests(corpus: DataFrame) -> DataFrame:
     """Requests of the readable collections, numbered depth first across nested folders.
 
-    Every entry of a collection is parsed once, into a variant. Each round opens one level of
-    folders in all documents at once and leaves requests as they are. The rounds follow one another
-    in the tasks that read the documents: nothing is parsed again, written or shuffled between
-    them. There are as many as arrays are nested in any document, which one pass over the text
-    tells first. A request is ordered by its positions along the way, and only requests of one
-    document are sorted together.
+    Every entry of a collection is parsed once, into a variant. A round replaces the folders of a
+    document by what they hold, in their place, so requests end up in order and are numbered where
+    the document is: nothing is parsed again, written, sorted or shuffled. There are as many rounds
+    as lists of entries are nested in any document, which one pass over the text tells first.
     """
-    documents = _documents(corpus)
-    nodes = documents.select("path", "flow_key", F.posexplode("items").alias("position", "text"))
-    nodes = once(nodes, F.try_parse_json("text"), "node").select(
-        "path", "flow_key", F.array("position").alias("at"), "node")
+    nodes = once(_documents(corpus).select("path", "flow_key", "items"),
+                 F.transform("items", lambda text: F.try_parse_json(text)), "nodes").drop("items")
     for _ in range(_nesting(corpus.where("content is not null")) - 1):
-        nodes = _opened(nodes)
-    asked = F.try_variant_get("node", "$.request", "variant")
-    requests = nodes.where(
-        asked.isNotNull() & ~F.is_variant_null(asked)
-        & F.try_variant_get("node", "$.item", "array<variant>").isNull())
-    in_order = Window.partitionBy("path").orderBy("at")
-    return once(requests, _request("node"), "item").select(
-        "path", "flow_key", F.row_number().over(in_order).cast("bigint").alias("step_order"), "item")
+        opened = F.flatten(F.transform(
+            "nodes", lambda node: F.coalesce(_inside(node), F.array(node))))
+        nodes = once(nodes, opened, "opened").select("path", "flow_key", F.col("opened").alias("nodes"))
+
+    def is_request(node: Column) -> Column:
+        asked = F.try_variant_get(node, "$.request", "variant")
+        return asked.isNotNull() & ~F.is_variant_null(asked) & _inside(node).isNull()
+
+    requests = F.transform(F.filter("nodes", is_request), _request)
+    return nodes.select("path", "flow_key", F.posexplode(requests).alias("position", "item")).select(
+        "path", "flow_key", (F.col("position") + 1).cast("bigint").alias("step_order"), "item")
 
 
 def _walk_order() -> Column:
@@ -142,35 +150,11 @@ def flows(
     )
 
 
-def _address(url: Column) -> Column:
-    """Raw address of a request; the JSON form of a URL has it under ``raw``.
-
-    An address may itself begin with a template variable, so text counts as JSON only if it can
-    be read as an object.
-    """
-    form = F.from_json(url, f"raw string, {MALFORMED} string",
-                       {"columnNameOfCorruptRecord": MALFORMED})
-    is_object = url.startswith("{") & form.getField(MALFORMED).isNull()
-    return F.when(is_object, form.raw).otherwise(url)
-
-
-def _script(lines: Column) -> Column:
-    """Script text; a script is a list of lines, or one string that may begin with a bracket."""
-    joined = F.array_join(F.from_json(lines, "array<string>"), "")
-    return F.when(lines.startswith("["), F.coalesce(joined, lines)).otherwise(lines)
-
-
 def request_steps(requests: DataFrame) -> DataFrame:
     """One row per request with everything later stages need, not yet cut to catalog widths."""
-    saved = F.filter(
-        F.transform(
-            "item.event",
-            lambda e: x.saved_variable(_script(e.script.getField("exec"))),
-        ),
-        lambda name: name.isNotNull(),
-    )
-    address = _address(F.col("item.request.url"))
-    method = F.coalesce("item.request.method", F.lit("GET"))
+    saved = F.filter(F.transform("item.scripts", x.saved_variable), lambda name: name.isNotNull())
+    address = F.col("item.address")
+    method = F.coalesce("item.method", F.lit("GET"))
     return requests.select(
         "path", "flow_key", "step_order",
         F.col("item.name").alias("name"),

@@ -160,7 +160,9 @@ def collection_documents(t) -> DataFrame:
         "o_orderkey", "o_orderpriority", "o_custkey", "o_orderkey", "o_custkey",
     )
     path = F.format_string("/POSTMAN/%012d.postman.json", "o_orderkey")
-    return t.orders.select(path.alias("path"), content.alias("content"))
+    # The orders are one row group, but a corpus of files comes to all tasks.
+    orders = t.orders.select("o_orderkey", "o_orderpriority", "o_custkey").repartition("o_orderkey")
+    return orders.select(path.alias("path"), content.alias("content"))
 
 
 LAYER_FOLDERS = ("bronze", "staging", "marts", "misc", "slv")
