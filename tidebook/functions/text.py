@@ -87,11 +87,8 @@ def markdown_errors(text: Column) -> Column:
 
 def layer_of(name: Column, path: Column) -> Column:
     """Warehouse layer by the first needle, in list order, found in name or path."""
-    hay = F.lower(F.concat(F.coalesce(name, F.lit("")), F.lit(" "), F.coalesce(path, F.lit(""))))
-    layer = F.lit(None).cast("string")
-    for needle, value in reversed(LAYER_NEEDLES):
-        layer = F.when(hay.contains(needle), value).otherwise(layer)
-    return layer
+    text = F.lower(F.concat_ws(" ", name, path))
+    return F.coalesce(*[F.when(F.contains(text, F.lit(n)), layer) for n, layer in LAYER_NEEDLES])
 
 
 def path_parts(path: Column) -> Column:
