@@ -154,6 +154,54 @@ def test_near_copies_of_a_chain_and_a_crowd(spark):
     assert all(r[0].component_id == d for d, r in out.items() if d >= 100)
 
 
+def test_sketches_differ_no_more_than_their_sets():
+    rng = np.random.default_rng(5)
+
+    class Even:
+        value = np.zeros(near_copies.ORDER, dtype=np.int64)
+
+    base = rng.integers(0, 1 << 62, 3000)
+    sets = [np.concatenate([base[:n], rng.integers(0, 1 << 62, own)])
+            for n in (1, 200, 3000) for own in (0, 3, 30, 700)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([bytes([i]) for i in range(len(sets))]), pa.array(sets, pa.list_(pa.int64()))],
+        ["class", "shingles"])
+    found = next(near_copies._prefixes(iter([batch]), Even, 85)).to_pylist()
+    close = 0
+    for x, row in zip(sets, found, strict=True):
+        for y, other in zip(sets, found, strict=True):
+            apart = sum(((row[c] ^ other[c]) % (1 << 64)).bit_count() for c in near_copies.SKETCH)
+            differ = len(set(x.tolist()) ^ set(y.tolist()))
+            assert apart <= differ and (apart > 0) == (differ > 0)
+            close += differ <= 60 and apart >= 0.9 * differ
+    assert close > len(sets)
+
+
+def test_components_against_plain_search(spark, tmp_path):
+    from tidebook.llm.components import components
+    from tidebook.llm.stages import Stages
+
+    rng = np.random.default_rng(2)
+    edges = [tuple(map(int, e)) for e in rng.integers(0, 300, (190, 2))]
+    edges += [(i, i + 1) for i in range(1000, 1040)] + [(5000, i) for i in range(4000, 4100)]
+    parent = {n: n for e in edges for n in e if e[0] != e[1]}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    stages = Stages(spark, "components-test")
+    table = spark.createDataFrame(edges + edges[:50], "a long, b long")
+    got = [tuple(r) for r in components(table, stages).collect()]
+    assert sorted(got) == sorted((n, root(n)) for n in parent)
+    assert components(table.limit(0), stages).count() == 0
+
+
 def test_shingles_against_tuples():
     import re
 

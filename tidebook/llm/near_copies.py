@@ -8,7 +8,10 @@ Only connectivity is wanted, so not all pairs of a bucket are made. First the mo
 of a bucket (the star) is compared with the rest of it, then the most central of those that stay
 outside the bucket's largest component. What may still be unconnected is compared exactly but
 sparsely: two sets as similar as asked must share one of their rarest shingles, so only documents
-that do and lie in different components meet. No bucket is gathered in one task.
+that do, lie in different components and have sketches near enough meet. A sketch holds, for each
+of 1024 slots, whether the set has an odd number of shingles there; sketches differ in no more
+slots than their sets differ in shingles, so none that links is lost. No bucket is gathered in one
+task.
 """
 
 from __future__ import annotations
@@ -32,6 +35,10 @@ BANDS, ROWS = 20, 4
 #: Slots by which shingles are counted to order them from rare to common.
 ORDER = 1 << 16
 
+#: Slots of a sketch and the columns that hold 64 of them each.
+SLOTS = 1024
+SKETCH = [f"sketch{i}" for i in range(SLOTS // 64)]
+
 SIGNATURE = "doc_id long, n_shingles long, class binary, bands array<long>"
 
 
@@ -104,13 +111,14 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], shared, percent: int):
-    """Of each set the rarest shingles, one of which any similar set has, and how common they are.
+    """Of each set the rarest shingles, one of which any similar set has, how common they are, and
+    the sketch.
 
     The order of shingles is that of the counts of their slots; any fixed order is exact.
     """
     counts = shared.value
     for batch in batches:
-        prefixes, central = [], []
+        prefixes, central, odd = [], [], []
         column = batch.column("shingles")
         flat, at = column.flatten().to_numpy(), column.offsets.to_numpy()
         for a, b in zip((at - at[0])[:-1], (at - at[0])[1:], strict=True):
@@ -120,9 +128,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared, percent: int):
             order = np.lexsort((values, often))[:size]
             prefixes.append(values[order])
             central.append(float(often[order].mean()))
+            odd.append(np.bincount(values % SLOTS, minlength=SLOTS) & 1)
+        sketch = np.packbits(np.array(odd, dtype=np.uint8).reshape(-1, SLOTS), axis=1).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch.column("class"), pa.array(central, pa.float64()),
-             pa.array(prefixes, pa.list_(pa.int64()))], ["class", "central", "prefix"])
+             pa.array(prefixes, pa.list_(pa.int64())), *map(pa.array, sketch.T.copy())],
+            ["class", "central", "prefix", *SKETCH])
 
 
 def _by_main(placed: DataFrame, key: str) -> DataFrame:
@@ -169,7 +180,8 @@ def near_copies(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     shared_counts = docs.sparkSession.sparkContext.broadcast(counts)
     rare = stages.write(sets.mapInArrow(
         lambda b: _prefixes(b, shared_counts, percent),
-        "class binary, central double, prefix array<long>"), "prefixes")
+        "class binary, central double, prefix array<long>, "
+        + ", ".join(f"{c} long" for c in SKETCH)), "prefixes")
     members = stages.write(
         members.join(rare.select("class", "central").hint("merge"), "class"), "placed")
 
@@ -187,9 +199,10 @@ def near_copies(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
         if step == "rest":
             # Documents that share a bucket with another component, by their rarest shingles.
             mixed_up = _by_main(placed, "bucket").select("class", "n", "root").distinct()
-            prefixes = mixed_up.join(rare.select("class", "prefix").hint("merge"), "class")
+            prefixes = mixed_up.join(rare.drop("central").hint("merge"), "class")
             placed = stages.write(prefixes.select(
-                "class", "n", "root", F.posexplode("prefix").alias("at", "bucket")), "rest")
+                "class", "n", "root", *SKETCH,
+                F.posexplode("prefix").alias("at", "bucket")), "rest")
         unsure = _by_main(placed, "bucket")
         # At first nothing is connected, and any document may be the star.
         chosen = unsure if step == "star" else unsure.where("root <> main")
@@ -202,6 +215,8 @@ def near_copies(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
             # At the first shingle two sets share, what follows must hold the whole intersection.
             near += (f" and (100 + {percent}) * least(n - at, star_n - star_at)"
                      f" >= {percent} * (n + star_n)")
+            apart = " + ".join(f"bit_count({c} ^ star_{c})" for c in SKETCH)
+            near += f" and (100 + {percent}) * ({apart}) <= (100 - {percent}) * (n + star_n)"
         pairs = unsure.join(
             chosen.hint("merge"), (F.col("bucket") == F.col("star_bucket")) & F.expr(near)
         ).select(F.least("class", "star_class").alias("a"),
