@@ -224,6 +224,33 @@ def test_pipeline_stage_by_stage(spark, documents):
                     {d: r.text for d, r in clean.items()})
 
 
+EXTRA = "doc_id long, text string, lang string, source string, n_chars long, content string, bucket int"
+
+
+def test_pipeline_stages_keep_rows_apart_that_share_an_id(spark):
+    item = next(i for _, i in plain("benchmark"))
+    copy = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [(1, copy), (2, copy), (2, other), (2, other), (None, copy), (None, "lone words"),
+            (3, f"before {item} after"), (3, "clean words"), (4, None), (5, "")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1, "c", 2) for r in rows], EXTRA)
+    near = corpus_pipeline.keep_one_of_near_copies(spark, docs, DIR)
+    assert near.columns == corpus_pipeline.COLUMNS
+    kept = [(r.doc_id, r.text) for r in near.collect()]
+    want = [r for i, r in enumerate(rows) if i not in (1, 3, 4)]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+    clean = corpus_pipeline.drop_leaks(spark, docs, DIR)
+    assert clean.columns == corpus_pipeline.COLUMNS
+    kept = [(r.doc_id, r.text) for r in clean.collect()]
+    assert sorted(kept, key=repr) == sorted(rows[:6] + rows[7:], key=repr)
+
+
+def test_pipeline_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], EXTRA)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, DIR).count() == 0
+
+
 def test_packing_plan_bounds():
     import random
 

@@ -88,15 +88,18 @@ def _batches(batches: Iterator[pa.RecordBatch], size: int, with_sets: bool):
             if full:
                 for i, row in zip(full, _signature([sets[i] for i in full]), strict=True):
                     bands[i] = row
+            more = [c for c in batch.schema.names if c == "content"]
             yield pa.RecordBatch.from_arrays(
                 [own, pa.array([len(s) for s in sets], pa.int64()), classes,
-                 pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "class", "bands"])
+                 pa.array(bands, pa.list_(pa.int64())),
+                 *[batch.column(c).slice(found.first, found.last - found.first) for c in more]],
+                ["doc_id", "n_shingles", "class", "bands", *more])
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda b: _batches(b, size, False), SIGNATURE)
+def signatures(docs: DataFrame, size: int, content: bool = False) -> DataFrame:
+    more = [F.xxhash64("text").alias("content")] if content else []
+    return docs.select(F.col("doc_id").cast("long"), "text", *more).mapInArrow(
+        lambda b: _batches(b, size, False), SIGNATURE + ", content long" * content)
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,17 +148,19 @@ def _by_main(placed: DataFrame, key: str) -> DataFrame:
     return placed.join(main.hint("merge"), key)
 
 
-def near_copies(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+def near_copies(docs: DataFrame, percent: int = 80, size: int = 5,
+                content: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``.
 
     Documents link if ``100 * |intersection| >= percent * |union|`` of their shingle sets. Null
     and empty texts have no shingles and link with nothing. Rows with a null ``doc_id`` take part;
     a component's id is its smallest non-null one, and such a row is kept only in a component
     without ids. Rows that repeat a ``doc_id`` are told apart by their texts; equal rows get equal
-    results. Other columns are ignored; an empty table gives no rows.
+    results. With ``content`` a row also has the hash of its text (``xxhash64``), which with the id
+    names it where ids repeat. Other columns are ignored; an empty table gives no rows.
     """
     stages = Stages(docs.sparkSession, "near-copies")
-    rows = stages.write(signatures(docs, size), "signatures")
+    rows = stages.write(signatures(docs, size, content), "signatures")
     classes = rows.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
         F.first("bands").alias("bands"))
@@ -236,7 +241,7 @@ def near_copies(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
         "class", "component_id"), "components")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.drop("bands").join(by_class.hint("merge"), "class", "left").select(
-        "doc_id", "n_shingles", own.alias("component_id")
+        "doc_id", "n_shingles", own.alias("component_id"), *["content"] * content
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
