@@ -6,7 +6,7 @@ the next one's ``docs``; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.llm import (  # noqa: F401
@@ -48,19 +48,31 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
         "n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def _key() -> Column:
+    """What names a row: ids may be null and may repeat, so a hash of the text goes with them."""
+    return F.struct(F.col("doc_id").cast("long").alias("doc_id"),
+                    F.xxhash64("text").alias("content"))
+
+
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies at similarity 0.8, the one of smallest id."""
-    kept = near_copies.near_copies(docs, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept.hint("merge"), docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").select(
-        *COLUMNS)
+    """One document of each group of near-copies at similarity 0.8, the one of smallest id.
+
+    Rows equal in id and text are one document, and one of them stays. Rows that share an id only
+    are judged by their own texts.
+    """
+    kept = near_copies.near_copies(docs, percent=80, content=True).where("kept").select(
+        F.struct("doc_id", "content").alias("_key"))
+    return docs.withColumn("_key", _key()).join(kept.hint("merge"), "_key", "left_semi"
+                                                ).dropDuplicates(["_key"]).select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of ``benchmark``."""
-    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
-    found = found.select("doc_id").distinct()
-    return docs.join(found.hint("merge"), docs.doc_id.eqNullSafe(found.doc_id), "left_anti").select(
-        *COLUMNS)
+    """Documents that hold no item of ``benchmark``; of rows that share an id, each by its text."""
+    keyed = docs.withColumn("_key", F.xxhash64(_key()))
+    found = decontamination.leaks(
+        keyed.select(F.col("_key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(found.hint("merge"), "_key", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
