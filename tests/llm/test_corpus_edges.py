@@ -401,3 +401,28 @@ def test_licenses_by_text_version_and_family(spark):
     assert {p: out[p] for p, _, n in rows if p != "AGPL/LICENSE"} == {
         p: n for p, _, n in rows if p != "AGPL/LICENSE"}
     assert out["AGPL/LICENSE"] != "GPL-3.0"
+
+
+def test_personal_data_learns_from_every_text_whatever_its_length(spark):
+    """All that can be learned lies in texts of more than 20,000 characters."""
+    cards = ["4111111111111111", "5500005555555559", "340000000000009"]
+    texts = [f"{'lorem ipsum ' * 1700}pay {cards[i % 3]} or write u{i}@mail.example.com or call "
+             f"+1 (555) 010-{1000 + i} from 10.{i}.2.3 today" for i in range(60)]
+    docs = spark.createDataFrame([*enumerate(texts), (98, None), (99, "")],
+                                 "doc_id long, text string")
+    model, dealt, local = (personal_data.train(docs), personal_data.train(docs.repartition(7)),
+                           personal_data.fit(texts))
+    assert min(model.thresholds) < 1
+    for other in (dealt, local):
+        assert other.thresholds == model.thresholds
+        for a, b in zip(model.trees.trees, other.trees.trees, strict=True):
+            assert [*a.feature, *a.below, *a.value] == [*b.feature, *b.below, *b.value]
+    assert len(model.trees.trees) == 40
+    assert personal_data.train(docs.where("doc_id > 90")).thresholds == [2.0] * 4
+
+
+def test_spans_clear_of_others():
+    taken = [(0, 0, 9), (2, 1, 4), (20, 0, 25)]
+    found = [(5, 2, 7), (8, 2, 10), (9, 2, 20), (9, 2, 21), (25, 0, 26)]
+    assert personal_data._clear(found, taken) == [(9, 2, 20), (25, 0, 26)]
+    assert personal_data._clear(found, []) == found

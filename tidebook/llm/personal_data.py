@@ -7,29 +7,40 @@ find and their checks confirm is always kept; the trees only add spans that over
 
 No span is labelled in the corpus, so the trees learn from the strict patterns: what they confirm,
 as found and rewritten in the ways the generators allow, is personal data; what fails a check, also
-after a digit is changed, and numbers cut from other strings are not.
+after a digit is changed, and numbers cut from other strings are not. Every document gives its
+candidates. Spark counts those that are alike, and each level of a tree is a pass over the counts;
+only sums by node, feature and bin, and by kind and probability, reach the driver.
 """
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.llm import boosting
 from tidebook.llm.registry import query, table
+from tidebook.llm.stages import Stages
+from tidebook.llm.words import slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents learned from at most, and the longest of them in characters.
-SAMPLE, SAMPLE_CHARS = 3000, 20_000
 #: Share of accepted held-out candidates that must be right.
 PRECISION = 0.99
+#: Steps of the probability at which a threshold may lie.
+GRID = 4096
+#: Tasks of a pass over the counted candidates at most: each sends its sums, 150 KB, to the driver.
+TASKS = 128
 
 # Strict patterns. A run of digits or of address characters is entered at its start only, so that
 # a long run costs no square of its length; the matches are the same.
@@ -112,7 +123,13 @@ def loose(text: str) -> list[tuple[int, int, int]]:
                    for m in pattern.finditer(text)})
 
 
-def features(text: str, start: int, kind: int, end: int) -> list[float]:
+def _clear(found: list, taken: list) -> list:
+    """Those of ``found`` that overlap none of ``taken``, which is in order."""
+    starts, ends = [s[0] for s in taken], list(accumulate((s[2] for s in taken), max))
+    return [c for c in found if not (at := bisect_left(starts, c[2])) or ends[at - 1] <= c[0]]
+
+
+def features(text: str, start: int, kind: int, end: int) -> list[int]:
     """Format of the span, and what stands around it."""
     span = text[start:end]
     number = digits(span)
@@ -127,7 +144,11 @@ def features(text: str, start: int, kind: int, end: int) -> list[float]:
         max(groups), min(groups), max(parts), len(letters), letters[-1], "@" in span,
         sum(span.count(c) for c in ".@"), span.count(" "), span.count("-"), span.count("("),
         span[0] == "+", span.startswith("00"), luhn(number), any(c.isalnum() for c in around),
-        any(c in "\"'=#" for c in around), " at " in span, span.lower().count(" dot "), bool(cue & _FOR) - bool(cue & _AGAINST)]
+        any(c in "\"'=#" for c in around), " at " in span, span.lower().count(" dot "),
+        bool(cue & _FOR) - bool(cue & _AGAINST)]
+
+
+FEATURES = len(features("0", 0, 0, 1))
 
 
 @dataclass
@@ -171,81 +192,136 @@ def _broken(kind: int, span: str, draw: random.Random) -> str:
     return re.sub(r"[0-9]", lambda m: str(draw.randint(0, 9)), digits(span))[: draw.randint(3, 7)]
 
 
-def examples(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels and kinds of weakly labelled candidates."""
-    x, y, kinds = [], [], []
+def examples(text: str) -> tuple[list[list[int]], list[int]]:
+    """Features and labels of the weakly labelled candidates of a text."""
+    x, y = [], []
 
     def add(text: str, start: int, kind: int, end: int, label: int) -> None:
         x.append(features(text, start, kind, end))
         y.append(label)
-        kinds.append(kind)
-
-    draw = random.Random(5)
-    for text in texts:
-        sure = strict(text)
-        for start, kind, end in sure:
-            add(text, start, kind, end, 1)
-            for label, span in ((1, _rewritten(kind, text[start:end], draw)),
-                                (0, _broken(kind, text[start:end], draw))):
-                near = text[max(0, start - 40):start]
-                changed = near + span + text[end:end + 20]
-                kept = {s for s in strict(changed) if s[1] == kind}
-                for a, k, b in loose(changed):
-                    if k == kind and a < len(near) + len(span) and b > len(near):
-                        exact = (a, b) == (len(near), len(near) + len(span))
-                        if (a, k, b) not in kept:
-                            add(changed, a, k, b, int(label and exact))
-        for start, kind, end in loose(text):
-            crossing = [s for s in sure if s[0] < end and start < s[2]]
-            if crossing and (start, kind, end) not in sure:
-                add(text, start, kind, end, 0)
-    return np.array(x, dtype=np.float64).reshape(len(y), -1), np.array(y), np.array(kinds)
 
+    sure = strict(text)
+    if not sure:
+        return x, y
+    draw = random.Random(zlib.crc32(text.encode()))
+    for start, kind, end in sure:
+        add(text, start, kind, end, 1)
+        for label, span in ((1, _rewritten(kind, text[start:end], draw)),
+                            (0, _broken(kind, text[start:end], draw))):
+            near = text[max(0, start - 40):start]
+            changed = near + span + text[end:end + 20]
+            kept = {s for s in strict(changed) if s[1] == kind}
+            for a, k, b in loose(changed):
+                if k == kind and a < len(near) + len(span) and b > len(near):
+                    exact = (a, b) == (len(near), len(near) + len(span))
+                    if (a, k, b) not in kept:
+                        add(changed, a, k, b, int(label and exact))
+    found = loose(text)
+    for start, kind, end in sorted(set(found) - set(_clear(found, sure)) - set(sure)):
+        add(text, start, kind, end, 0)
+    return x, y
+
+
+def _held(text: str) -> bool:
+    """Whether a text's candidates are for the thresholds, as those of a quarter of the texts."""
+    return zlib.crc32(text.encode()) % 4 == 0
+
+
+COUNTED = "held boolean, x array<int>, n long, yes long"
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates of texts, and how many are alike."""
+    for batch in slices(batches):
+        rows = []
+        for text in batch.column("text").to_pylist():
+            x, y = examples(text)
+            held = _held(text)
+            rows += [(held, label, *values) for values, label in zip(x, y, strict=True)]
+        if rows:
+            alike, n = np.unique(np.array(rows, dtype=np.int32), axis=0, return_counts=True)
+            values = pa.array(np.ascontiguousarray(alike[:, 2:]).ravel())
+            at = pa.array(np.arange(len(alike) + 1) * FEATURES, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(alike[:, 0] == 1), pa.ListArray.from_arrays(at, values),
+                 pa.array(n.astype(np.int64)), pa.array(n * alike[:, 1].astype(np.int64))],
+                ["held", "x", "n", "yes"])
 
-def fit(texts: list[str]) -> Model:
-    """Trees from three quarters of the texts, thresholds from the rest."""
-    x, y, _ = examples([t for i, t in enumerate(texts) if i % 4])
-    trees = boosting.fit(x, y)
-    hx, hy, kinds = examples(texts[::4])
-    p = trees.probability(hx) if len(hy) else np.zeros(0)
+
+@dataclass
+class Block(boosting.Block):
+    kind: np.ndarray
+
+
+def _block(x: np.ndarray, n: np.ndarray, yes: np.ndarray, edges: list[np.ndarray]) -> Block:
+    return Block(boosting.binned(x, edges), n, yes, x[:, :len(KINDS)].argmax(axis=1))
+
+
+def _by_chance(block: Block, trees: boosting.Boosted) -> np.ndarray:
+    """Numbers of candidates, and of right ones, by kind and step of the probability."""
+    at = block.kind * (GRID + 1) + (trees.probability(block.bins) * GRID).astype(np.int64)
+    return np.stack([np.bincount(at, v, len(KINDS) * (GRID + 1)).reshape(len(KINDS), -1)
+                     for v in (block.n, block.yes)]).astype(np.int64)
+
+
+def _model(learned: boosting.Total, held: boosting.Total, edges: list[np.ndarray]) -> Model:
+    trees, by_bin = boosting.fit(learned, edges)
+    n, yes = np.zeros((2, len(KINDS), GRID + 1), np.int64) + held(lambda b: _by_chance(b, by_bin))
     thresholds = []
     for kind in range(len(KINDS)):
-        own = kinds == kind
-        order = np.argsort(-p[own], kind="stable")
-        right, value = np.cumsum(hy[own][order]), p[own][order]
-        share = right / np.arange(1, len(order) + 1)
-        last = np.append(value[1:] != value[:-1], True) if len(value) else np.zeros(0, bool)
-        good = np.flatnonzero((share >= PRECISION) & last)
+        every, right = np.cumsum(n[kind][::-1])[::-1], np.cumsum(yes[kind][::-1])[::-1]
+        good = np.flatnonzero((n[kind] > 0) & (right >= PRECISION * every))
         # Without evidence nothing is added.
-        thresholds.append(max(0.5, float(value[good[-1]])) if len(good) else 2.0)
+        thresholds.append(max(0.5, float(good[0] / GRID)) if len(good) else 2.0)
     return Model(trees, thresholds)
 
 
+def fit(texts: list[str]) -> Model:
+    """Trees from three quarters of the texts, thresholds from the rest."""
+    rows = [(_held(t), label, *x) for t in texts
+            for x, label in zip(*examples(t), strict=True)]
+    array = np.array(rows, dtype=np.int64).reshape(len(rows), FEATURES + 2)
+    held, label, x = array[:, 0] == 1, array[:, 1], array[:, 2:]
+    edges = [np.unique(np.quantile(v, boosting.CUTS)) if len(v) else v for v in x[~held].T]
+    one = np.ones(len(rows), dtype=np.int64)
+    own, rest = (_block(x[s], one[s], label[s], edges) for s in (~held, held))
+    return _model(lambda f: f(own), lambda f: f(rest), edges)
+
+
 def spans(text: str, model: Model | None) -> tuple[list, list]:
     """Strict spans, and all spans, each ``start, kind, end`` in order."""
-    if not _ANY.search(text):
-        return [], []
-    sure = strict(text)
-    free = [] if model is None else [
-        c for c in loose(text) if not any(c[0] < s[2] and s[0] < c[2] for s in sure)]
-    if not free:
-        return sure, sure
-    p = model.trees.probability(np.array([features(text, *c) for c in free], dtype=np.float64))
-    added: list = []
-    for chance, c in sorted(zip(p.tolist(), free, strict=True), key=lambda v: (-v[0], v[1])):
-        if chance >= model.thresholds[c[1]] and not any(c[0] < s[2] and s[0] < c[2]
-                                                        for s in added):
-            added.append(c)
-    return sure, sorted(sure + added)
+    return _spans([text], model)[0]
+
+
+def _spans(texts: list[str], model: Model | None) -> list[tuple[list, list]]:
+    """``spans`` of each text; the trees judge all candidates at once."""
+    sure = [strict(t) if _ANY.search(t) else [] for t in texts]
+    if model is None:
+        return [(s, s) for s in sure]
+    free = [_clear(loose(t), s) if _ANY.search(t) else [] for t, s in zip(texts, sure, strict=True)]
+    x = [features(t, *c) for t, own in zip(texts, free, strict=True) for c in own]
+    chances = iter(model.trees.probability(np.array(x, dtype=np.float64)).tolist() if x else [])
+    out = []
+    for s, own in zip(sure, free, strict=True):
+        starts: list[int] = []
+        added: list = []  # in order; they overlap none of each other
+        for chance, c in sorted(((next(chances), c) for c in own), key=lambda v: (-v[0], v[1])):
+            if chance >= model.thresholds[c[1]]:
+                at = bisect_left(starts, c[2])
+                if not at or added[at - 1][2] <= c[0]:
+                    starts.insert(at, c[0])
+                    added.insert(at, c)
+        out.append((s, sorted(s + added)))
+    return out
 
 
 def _find(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                       ("strict", pa.bool_())])
-    for batch in batches:
+    for batch in slices(batches):
         out = []
-        for text in batch.column("text").to_pylist():
-            sure, found = spans(text or "", shared.value)
+        for sure, found in _spans([t or "" for t in batch.column("text").to_pylist()],
+                                  shared.value):
             known = set(sure)
             out.append([{"kind": KINDS[k], "start": a, "end": b, "strict": (a, k, b) in known}
                         for a, k, b in found])
@@ -257,15 +333,39 @@ FOUND = ("doc_id long, "
          "spans array<struct<kind: string, start: long, end: long, strict: boolean>>")
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` documents that hold a digit, those whose ids have least hash."""
-    rows = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS)).select(
-        "doc_id", "text", F.xxhash64("doc_id").alias("_h"))
-    bound = rows.select("_h").orderBy("_h").limit(sample).agg(F.max("_h").alias("m")).first().m
-    if bound is None:
-        return fit([])
-    chosen = rows.where(F.col("_h") <= bound).select("text").limit(sample).collect()
-    return fit(sorted(r.text for r in chosen))
+def _total(rows: DataFrame, edges: list[np.ndarray]):
+    """The rows as blocks kept by the executors, and a function that sums over them."""
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, FEATURES)
+            block = _block(x, batch.column("n").to_numpy(), batch.column("yes").to_numpy(), edges)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)])], ["block"])
+
+    tasks = min(TASKS, rows.sparkSession.sparkContext.defaultParallelism)
+    kept = rows.select("x", "n", "yes").coalesce(tasks).mapInArrow(blocks, "block binary").rdd.map(
+        lambda r: pickle.loads(r.block)).persist(StorageLevel.MEMORY_AND_DISK)
+    return kept, lambda f: sum(kept.mapPartitions(lambda own: [sum(map(f, own))]).collect())
+
+
+def train(docs: DataFrame) -> Model:
+    """Fit on the candidates of every document of ``docs(text)``, however long it is."""
+    stages = Stages(docs.sparkSession, "personal-data")
+    # Without a digit or an @ there is no strict span, and so no candidate to learn from.
+    found = docs.where(F.col("text").rlike("[0-9@]")).select("text").mapInArrow(_counted, COUNTED)
+    counted = stages.write(found.groupBy("held", "x").agg(
+        F.sum("n").alias("n"), F.sum("yes").alias("yes")), "candidates")
+    cuts = F.array(*map(F.lit, boosting.CUTS))
+    row = counted.where("not held").agg(*[
+        F.percentile(F.col("x")[k], cuts, F.col("n")).alias(f"e{k}")
+        for k in range(FEATURES)]).first()
+    edges = [np.unique(np.array(e or [], dtype=np.float64)) for e in row]
+    kept, sums = zip(*[_total(counted.where(side), edges) for side in ("not held", "held")],
+                     strict=True)
+    model = _model(*sums, edges)
+    for blocks in kept:
+        blocks.unpersist()
+    stages.drop(counted)
+    return model
 
 
 def personal_data(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -285,11 +385,13 @@ def redact(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def cleared(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
-            for text in batch.column("text").to_pylist():
+            texts = batch.column("text").to_pylist()
+            found = _spans([t or "" for t in texts], shared.value)
+            for text, (_, own) in zip(texts, found, strict=True):
                 done, parts = 0, []
-                for a, k, b in spans(text or "", shared.value)[1]:
+                for a, k, b in own:
                     if b > done:
                         parts += [text[done:max(a, done)], f"[{KINDS[k]}]"]
                         done = b
@@ -301,7 +403,6 @@ def redact(docs: DataFrame, model: Model | None) -> DataFrame:
         cleared, "doc_id long, text string")
 
 
-
 @query("op7_personal_data")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

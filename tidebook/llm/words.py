@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text worked on at once; a longer text is a piece of its own.
-PIECE_BYTES = 1 << 21
+#: Bytes of text worked on at once, and of the slices of an Arrow batch where its texts take much
+#: more room while they are worked on; a longer text is a piece or a slice of its own.
+PIECE_BYTES, SLICE_BYTES = 1 << 21, 1 << 19
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -35,7 +36,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 to ``n`` of the base and of its inverse, modulo 2**64."""
     if len(_powers.get("up", ())) <= n:
-        size = max(n + 1, PIECE_BYTES + 1)
+        size = max(1 << n.bit_length(), SLICE_BYTES) + 1
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
@@ -53,6 +54,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of batches with a ``text`` in slices of at most ``size`` bytes of it, or of one row.
+
+    A batch may hold thousands of long texts; what is made of them is held for one slice only.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+        at = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        first = 0
+        while first < len(lengths):
+            last = max(int(np.searchsorted(at, at[first] + size, side="right")) - 1, first + 1)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def lowered(column: pa.Array) -> pa.Array:
     """The texts in lower case, letters beyond ASCII too (null stays null)."""
     return pc.utf8_lower(column.cast(pa.large_string()))
