@@ -426,3 +426,29 @@ def test_spans_clear_of_others():
     found = [(5, 2, 7), (8, 2, 10), (9, 2, 20), (9, 2, 21), (25, 0, 26)]
     assert personal_data._clear(found, taken) == [(9, 2, 20), (25, 0, 26)]
     assert personal_data._clear(found, []) == found
+
+
+def test_large_batches_are_worked_on_in_slices(spark, monkeypatch):
+    texts = ["le chat est sur la table " * 20_000, None, "", *["the cat sat on the mat"] * 50_000,
+             "é" * 3_000_000]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+    parts = list(language.slices([batch.slice(1), batch.slice(0, 0)]))
+    assert [x for p in parts for x in p.column("doc_id").to_pylist()] == [*range(1, len(texts))]
+    assert max(p.num_rows for p in parts) < 30_000 and parts[-1].num_rows == 1
+    seen = []
+    monkeypatch.setattr(language, "_labels", lambda column, model: seen.append(column.nbytes) or [
+        pa.nulls(len(column), pa.string()), pa.nulls(len(column), pa.float64())])
+
+    class Docs:  # takes the function that Spark would run
+        columns = ["doc_id", "text"]
+        schema = spark.createDataFrame([], "doc_id long, text string").schema
+        sparkSession = spark
+
+        def drop(self, *names):
+            return self
+
+        def mapInArrow(self, function, schema):
+            return list(function([batch.slice(3, 50_000)]))
+
+    out = language.annotate(Docs(), language.fit([], []))
+    assert sum(b.num_rows for b in out) == 50_000 and max(seen) < 1 << 20

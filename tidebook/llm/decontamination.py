@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidebook.llm.registry import query, table
 from tidebook.llm.tfidf import BREAKS, document_counts, positions
-from tidebook.llm.words import Words, lowered, words
+from tidebook.llm.words import Words, lowered, slices, words
 
 #: Passages indexed together, and spare dimensions while their space is sought. The space has a
 #: dimension for each passage of a block: with fewer, passages blur into one another, and common
@@ -199,7 +199,7 @@ def _search(batches: Iterator[pa.RecordBatch], shared, cosine: float, share: flo
             answered: float) -> Iterator[pa.RecordBatch]:
     index: Index = shared.value
     masks = [_masks(x) for x in index.item_words]
-    for batch in batches:
+    for batch in slices(batches):
         ids = batch.column("doc_id").to_pylist()
         out: dict[tuple[int, int], tuple[float, float, float]] = {}
         for found in words(lowered(batch.column("text")), BREAKS):

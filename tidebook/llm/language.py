@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidebook.llm.registry import query, table
-from tidebook.llm.words import Words, lowered, span_hasher, words
+from tidebook.llm.words import Words, lowered, slices, span_hasher, words
 
 #: Labelled texts learned from at most, words and characters taken from each at most.
 SAMPLE, SAMPLE_WORDS, SAMPLE_CHARS = 1500, 48, 4000
@@ -255,7 +255,7 @@ def annotate(docs: DataFrame, model: Model) -> DataFrame:
     place = rows.columns.index("text")
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *_labels(batch.column(place), shared.value)],
                 [*batch.schema.names, "lang_pred", "score"])

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidebook.llm.components import components
 from tidebook.llm.registry import query, table
 from tidebook.llm.stages import Stages
-from tidebook.llm.words import mixed, shingle_sets, words
+from tidebook.llm.words import mixed, shingle_sets, slices, words
 
 #: 20 bands of 4 values: a pair at similarity 0.85 shares no band with probability 4e-7, one at
 #: 0.8 with probability 3e-5.
@@ -69,7 +69,7 @@ def _class_of(values: np.ndarray) -> bytes:
 
 
 def _batches(batches: Iterator[pa.RecordBatch], size: int, with_sets: bool):
-    for batch in batches:
+    for batch in slices(batches):
         ids, texts = batch.column("doc_id"), batch.column("text")
         for found in words(texts):
             sets = shingle_sets(found, size)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.words import lowered, words
+from tidebook.llm.words import lowered, slices, words
 
 #: ASCII characters other than letters and digits end a term, as white space does.
 BREAKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -26,7 +26,7 @@ def positions(terms: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _counts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     terms = shared.value
     counts, documents = np.zeros(len(terms), dtype=np.int64), 0
-    for batch in batches:
+    for batch in slices(batches):
         for found in words(lowered(batch.column("text")), BREAKS):
             at = positions(terms, found.hash)
             text = np.repeat(np.arange(len(found.word_at) - 1), np.diff(found.word_at))
