@@ -372,3 +372,26 @@ def test_bundles_name_known_relations(spec_corpus, collection_corpus, manifest_c
     )
     for name, df in bundle.items():
         assert set(CATALOG_KEYS[name]) <= set(df.columns)
+
+
+def test_dependencies_across_chunks_and_repeated_paths(spark, monkeypatch, rows):
+    """A use finds its setter chunks before, also one in another document of the same path."""
+    def asked(url, saves=None):
+        script = [{"script": {"exec": f"x.set('{saves}', 1)"}}] if saves else 5
+        return {"request": {"url": url}, "event": script}
+
+    def document(*items):
+        return json.dumps({"info": {"name": "f"}, "item": list(items)})
+
+    corpus = spark.createDataFrame([
+        ("p", document(asked("set", "a"), *[asked("x")] * 8, asked("{{a}}{{b}}"))),
+        ("p", document(asked("y"), asked("z", "b"))),
+        ("q", document(asked("{{a}}"), {"request": 5}, {"request": None})),
+    ], "path string, content string")
+    monkeypatch.setattr(collections, "STEP_CHUNK", 2)
+    steps = collections.request_steps(collections.flow_requests(corpus))
+    assert rows(collections.flow_dependencies(steps)) == [
+        ("GET {{a}}{{b}}", "GET set", "uses"), ("GET {{a}}{{b}}", "GET z", "uses")]
+    unresolved = collections.resolve_uses(steps).where("to_endpoint is null")
+    assert rows(unresolved, "path", "step_order", "variable") == [("q", 1, "a")]
+    assert steps.where("path = 'q'").count() == 2

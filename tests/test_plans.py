@@ -166,3 +166,12 @@ def _only_with_schema(read):
         return read(spark, path, schema)
 
     return checked
+
+
+def test_dependencies_read_every_document_once(spark):
+    """Lookups inside the chunks and the chunks' summaries share one parse and one shuffle."""
+    found = entry_point.queries()["collection_dependencies"](spark, f"{DATA}/sf0.001")
+    assert found.count() > 0
+    found.collect()
+    ran = plan_of(found).split("== Initial Plan ==")[0]
+    assert ran.count("parseJson(") <= 1 and "ReusedExchange" in ran

@@ -42,3 +42,18 @@ def test_latest_before(spark, rows, width):
             latest = max(earlier, key=lambda s: s[2])[3] if earlier else None
             expected.append((k, v, at, latest))
     assert rows(found) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("width", [1, 5, 1000])
+def test_latest_before_with_known_opening_chunk(spark, rows, width):
+    """Rows of the least chunk need no summary; rows with a NULL key fall out."""
+    rng = random.Random(200 + width)
+    steps = [(k or None, at, f"e{at}" if rng.random() < 0.3 else None)
+             for at, k in enumerate(keys(rng, 300))]
+    df = spark.createDataFrame(steps, "k int, at int, endpoint string")
+    chunk = F.floor(F.col("at") / width)
+    found = latest_before(df.withColumn("opening", chunk == 0), ["k"], "at", "endpoint", chunk,
+                          "opening")
+    expected = latest_before(df, ["k"], "at", "endpoint", chunk)
+    assert rows(found.drop("opening")) == rows(expected) != []
+    assert found.where("k is null").isEmpty()

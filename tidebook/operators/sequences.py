@@ -44,12 +44,15 @@ def number_within(
 
 
 def latest_before(
-    rows: DataFrame, keys: Sequence[str], order: str, value: str, chunk: Column
+    rows: DataFrame, keys: Sequence[str], order: str, value: str, chunk: Column,
+    opening: str | None = None,
 ) -> DataFrame:
     """Rows without a ``value``, each with the latest value strictly before it in its group.
 
     Rows with a value only set it and are not returned; a row without an earlier value keeps
-    NULL. ``chunk`` is an expression over ``order`` that does not decrease along it.
+    NULL, and rows with a NULL key or chunk fall out. ``chunk`` is an expression over ``order``
+    that does not decrease along it. ``opening`` names a column that is true in rows of the least
+    chunk there can be: nothing comes before it, so its rows are done without a summary.
     """
     chunked = rows.withColumn("_chunk", chunk)
     # At one position the rows that set come last: strictly earlier values only.
@@ -58,21 +61,33 @@ def latest_before(
         .orderBy(order, F.col(value).isNotNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    within = chunked.withColumn("_seen", F.last(value, ignorenulls=True).over(inside)).where(
-        F.col(value).isNull()
-    )
+
+    def within(part: DataFrame) -> DataFrame:
+        seen = F.last(value, ignorenulls=True).over(inside)
+        return part.withColumn("_seen", seen).where(F.col(value).isNull())
+
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    carried = (
-        chunked.groupBy(*keys, "_chunk")
-        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
-        .select(
-            *keys, "_chunk", F.last("_last", ignorenulls=True).over(before).alias("_carried")
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last")
+    carry = F.last("_last", ignorenulls=True).over(before).alias("_carried")
+
+    def found(part: DataFrame, carried: DataFrame) -> DataFrame:
+        return (
+            within(part).join(carried.hint("merge"), [*keys, "_chunk"])
+            .withColumn(value, F.coalesce("_seen", "_carried"))
+            .select(*rows.columns)
         )
-    )
-    return (
-        within.join(carried.hint("merge"), [*keys, "_chunk"])
-        .withColumn(value, F.coalesce("_seen", "_carried"))
-        .select(*rows.columns)
-    )
+
+    if opening is None:
+        summaries = chunked.groupBy(*keys, "_chunk").agg(last)
+        return found(chunked, summaries.select(*keys, "_chunk", carry))
+    later = ~F.col(opening)
+    summaries = chunked.where(F.col(value).isNotNull() | later).groupBy(*keys, "_chunk").agg(
+        last, F.max(opening).alias("_opening"))
+    carried = summaries.select(*keys, "_chunk", "_opening", carry).where(~F.col("_opening"))
+    opened = chunked.where(F.col(opening))
+    for name in (*keys, "_chunk"):
+        opened = opened.where(F.col(name).isNotNull())
+    return found(chunked.where(later), carried.drop("_opening")).unionByName(
+        within(opened).withColumn(value, F.col("_seen")).select(*rows.columns))

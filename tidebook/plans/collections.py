@@ -83,25 +83,31 @@ def _inside(node: Column) -> Column:
     return F.try_variant_get(node, "$.item", "array<variant>")
 
 
-def _request(node: Column) -> Column:
+#: What is taken out of an entry in one go; parts of another kind than these become NULL.
+ENTRY = """struct<name:string, request:struct<method:string, url:variant>,
+    event:array<struct<script:struct<exec:variant>>>>"""
+
+
+def _request(entry: Column) -> Column:
     """The parts of a request that are used: its name, method, address and script texts.
 
     The JSON form of a URL has the address under ``raw``. A script is a list of lines, or one text.
     """
-    def part(path: str, kind: str = "string", of=node) -> Column:
+    def part(of: Column, kind: str = "string", path: str = "$") -> Column:
         return F.try_variant_get(of, path, kind)
 
-    url, parts = part("$.request.url"), part("$.request.url", "map<string,variant>")
+    url = entry.request.url
     # An address may itself begin with a template variable; only an object has no other text.
-    nothing = url.startswith("{") & parts.isNotNull()
-    address = F.coalesce(part("$.request.url.raw"), F.when(~nothing, url))
-    scripts = F.transform(
-        part("$.event", "array<variant>"),
-        lambda e: F.coalesce(F.array_join(part("$.script.exec", "array<string>", e), ""),
-                             part("$.script.exec", of=e)))
+    nothing = part(url).startswith("{") & part(url, "map<string,variant>").isNotNull()
+    address = F.coalesce(part(url, path="$.raw"), F.when(~nothing, part(url)))
+
+    def script(event: Column) -> Column:
+        code = event.script.exec
+        return F.coalesce(F.array_join(part(code, "array<string>"), ""), part(code))
+
     return F.struct(
-        part("$.name").alias("name"), part("$.request.method").alias("method"),
-        address.alias("address"), scripts.alias("scripts"))
+        entry.getField("name").alias("name"), entry.request.method.alias("method"),
+        address.alias("address"), F.transform(entry.event, script).alias("scripts"))
 
 
 def flow_requests(corpus: DataFrame) -> DataFrame:
@@ -119,13 +125,18 @@ def flow_requests(corpus: DataFrame) -> DataFrame:
             "nodes", lambda node: F.coalesce(_inside(node), F.array(node))))
         nodes = once(nodes, opened, "opened").select("path", "flow_key", F.col("opened").alias("nodes"))
 
-    def is_request(node: Column) -> Column:
-        asked = F.try_variant_get(node, "$.request", "variant")
-        return asked.isNotNull() & ~F.is_variant_null(asked) & _inside(node).isNull()
+    def is_request(seen: Column) -> Column:
+        asked = F.try_variant_get(seen.node, "$.request", "variant")
+        given = seen.entry.request.isNotNull() | (asked.isNotNull() & ~F.is_variant_null(asked))
+        return given & _inside(seen.node).isNull()
 
-    requests = F.transform(F.filter("nodes", is_request), _request)
-    return nodes.select("path", "flow_key", F.posexplode(requests).alias("position", "item")).select(
-        "path", "flow_key", (F.col("position") + 1).cast("bigint").alias("step_order"), "item")
+    seen = F.transform("nodes", lambda node: F.struct(
+        node.alias("node"), F.try_variant_get(node, "$", ENTRY).alias("entry")))
+    entries = F.transform(F.filter(seen, is_request), lambda seen: seen.entry)
+    numbered = nodes.select("path", "flow_key", F.posexplode(entries).alias("position", "entry"))
+    return numbered.select(
+        "path", "flow_key", (F.col("position") + 1).cast("bigint").alias("step_order"),
+        _request(F.col("entry")).alias("item"))
 
 
 def _walk_order() -> Column:
@@ -185,24 +196,32 @@ def resolve_uses(
 
     ``chunk`` cuts long flows (see ``latest_before``); the default suits numbered steps.
     """
-    nothing = F.lit(None).cast("string")
-
-    def event(variable: Column, user: Column, setter: Column) -> Column:
-        return F.struct(variable.alias("variable"), user.alias("from_endpoint"),
-                        setter.alias("to_endpoint"))
-
-    endpoint, saved = F.col("endpoint_key"), F.col("saved_variable")
-    uses = F.transform(
-        F.coalesce(x.template_variables(F.col("address")), F.array().cast("array<string>")),
-        lambda variable: event(variable, endpoint, nothing),
-    )
-    sets = F.filter(F.array(event(saved, nothing, endpoint)), lambda e: e.variable.isNotNull())
-    events = steps.select(flow, order, F.explode(F.concat(uses, sets)).alias("event")).select(
-        flow, order, "event.*"
-    )
-    if chunk is None:
-        chunk = F.floor(F.col(order) / STEP_CHUNK)
-    return latest_before(events, [flow, "variable"], order, "to_endpoint", chunk)
+    numbered = chunk is None
+    if numbered:
+        chunk = F.floor(F.greatest(F.col(order), F.lit(0)) / STEP_CHUNK)
+    # Steps are made once and dealt out once, for the lookup inside the chunks and for the chunks'
+    # summaries. Both take all their columns, and no filter of one can go below the shuffle:
+    # otherwise each would have rows of its own, and every document be read for each.
+    uses = F.coalesce(x.template_variables(F.col("address")), F.array().cast("array<string>"))
+    told = once(steps.select(flow, order, chunk.alias("_part"), "address", "endpoint_key",
+                             "saved_variable"),
+                F.concat(F.array("saved_variable"), uses), "names")
+    named = (F.size("names") > 1) | F.col("names")[0].isNotNull()
+    placed = told.where(named & F.col(flow).isNotNull() & F.col("_part").isNotNull()).select(
+        flow, order, "_part", "endpoint_key", "names").repartition(flow, "_part")
+    events = placed.select(flow, order, "_part", "endpoint_key",
+                           F.posexplode("names").alias("_at", "variable"))
+    # The place in the list is never negative, which only says that the condition needs it.
+    opening = F.greatest("_part", F.least("_at", F.lit(0))) == 0 if numbered else F.lit(False)
+    sets = F.col("_at") == 0
+    rows = events.select(
+        flow, "variable", order, "_part", opening.alias("_opening"),
+        F.when(~sets, F.col("endpoint_key")).alias("from_endpoint"),
+        F.when(sets, F.col("endpoint_key")).alias("to_endpoint"))
+    found = latest_before(
+        rows, [flow, "variable"], order, "to_endpoint", F.col("_part"),
+        "_opening" if numbered else None)
+    return found.select(flow, order, "variable", "from_endpoint", "to_endpoint")
 
 
 def flow_dependencies(
