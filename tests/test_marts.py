@@ -122,3 +122,45 @@ def test_smoke_limit(spark):
         landing_schema("positions_raw"),
     )
     assert stage_positions(raw, limit=4).count() == 4
+
+
+def test_positions_in_parts_equal_positions_joined_before(spark, rows):
+    """Headers and lines give the rows of the flat table, for repeated, missing and long keys."""
+    from types import SimpleNamespace
+
+    from tidebook.workload import bindings
+    from tidebook.workload.registry import SCHEMAS
+
+    def table(name, data):
+        columns = SCHEMAS[name].replace("timestamp_ntz", "string")
+        df = spark.createDataFrame(data, columns)
+        dates = [c for c in ("o_orderdate", "l_shipdate") if c in df.columns]
+        return df.withColumns({c: df[c].cast("timestamp_ntz") for c in dates})
+
+    long = 10**18 + 7
+    orders = [(1, 5, "O", 1.0, "1997-06-01", "p"), (1, 6, "O", 1.0, "1997-06-02", "p"),
+              (2, None, "O", 1.0, "1997-06-03", "p"), (None, 5, "O", 1.0, "1997-06-04", "p"),
+              (3, long, "O", 1.0, None, "p"), (4, 99, "O", 1.0, "1997-06-05", "p")]
+    line = ("N", "F", "1997-07-01")
+    t = SimpleNamespace(
+        orders=table("orders", orders),
+        lineitem=table("lineitem", [
+            (1, 7, 1, 1, 17.0, 84197.04, 0.06, 0.02, *line), (1, 7, 1, 7, 1.0, 0.01, 0.1, 0.0, *line),
+            (1, 7, 1, 1, 17.0, 84197.04, 0.06, 0.02, *line), (2, 7, 1, 1, 2.0, 5.0, 0.0, 0.0, *line),
+            (None, 7, 1, 1, 2.0, 5.0, 0.0, 0.0, *line), (4, 7, 1, 1, 2.0, 5.0, 0.0, 0.0, *line),
+            (3, long, 1, 2, 1.125, 1234567.891, 0.333, 0.07, None, None, None),
+            (3, 7, 1, 2, None, 3.0, None, 0.07, "R", "O", None),
+            (3, 7, 1, None, 3.0, -3.0, 0.01, -0.07, "A", "x", None),
+            (3, 7, 1, 1, 9e9, 9e13, 0.01, 0.07, "A", "x", None),
+            (3, None, 1, 1, 2.0, 5.0, 0.0, 0.0, *line), (3, 8, 1, 1, 2.0, 5.0, 0.0, 0.0, *line)]),
+        part=table("part", [(7, "red nut", "B", "CASH", 3, 1.0), (7, "red nut", "B", "ECONOMY", 3, 1.0),
+                            (long, "bolt", "C", "ECONOMY", 3, 1.0)]),
+        customer=table("customer", [(5, "c5", 1, 10.0, "s"), (6, "c6", 1, None, None),
+                                    (6, "c6", 1, None, None), (long, "cl", 1, -1.0, "s"),
+                                    (99, "c", 7, 1.0, "s")]),
+        nation=table("nation", [(1, "FR", 1)]))
+    columns = ENRICHED_COLUMNS
+    flat = enrich_positions(bindings.staged_positions(t), bindings.staged_securities(t),
+                            bindings.staged_accounts(t))
+    found = rows(bindings.enriched_positions(t), *columns)
+    assert found == rows(flat, *columns) and len(found) > 20

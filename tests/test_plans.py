@@ -175,3 +175,21 @@ def test_dependencies_read_every_document_once(spark):
     found.collect()
     ran = plan_of(found).split("== Initial Plan ==")[0]
     assert ran.count("parseJson(") <= 1 and "ReusedExchange" in ran
+
+
+def test_positions_are_made_behind_the_last_shuffle(spark):
+    """Lines travel as they are, with one shuffle for their order and one for their security."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for key in keys:
+            spark.conf.set(key, "-1")
+        found = entry_point.queries()["positions_enriched"](spark, f"{DATA}/sf0.001")
+        plan = plan_of(found)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    above, below = plan.split("Exchange", 1)
+    assert "concat_ws(|" in above and "concat_ws(|" not in below
+    lines = [line for line in plan.splitlines() if "Exchange" in line]
+    assert sum("security_id" in line or "l_orderkey" in line for line in lines) <= 4

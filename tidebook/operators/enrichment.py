@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +24,36 @@ ENRICHED_COLUMNS = [
 ]
 
 
+@dataclass(frozen=True)
+class PositionParts:
+    """Positions as they arrive: lines that share a header with the account and the day.
+
+    ``headers`` and ``lines`` have the columns ``on``; headers also a staged ``account_id``, lines
+    a staged ``security_id``. ``typed`` makes the staged positions out of a line with its header,
+    and keeps the columns named to it.
+    """
+
+    headers: DataFrame
+    lines: DataFrame
+    on: tuple[str, ...]
+    typed: Callable[[DataFrame, list[str]], DataFrame]
+
+    def joined(self, security: DataFrame, account: DataFrame) -> DataFrame:
+        """Staged positions with the columns of both reference tables.
+
+        Accounts are joined to headers, which are fewer than lines. Lines travel as they are;
+        what follows from them is worked out behind the last shuffle. Headers grow as the lines
+        do, so that join is always a shuffle join.
+        """
+        headers = self.headers.join(account, "account_id").hint("merge")
+        whole = self.lines.join(headers, [*self.on]).join(security, "security_id")
+        kept = [c for c in [*account.columns, *security.columns]
+                if c not in ("account_id", "security_id")]
+        return self.typed(whole, kept)
+
+
 def enrich_positions(
-    positions: DataFrame, securities: DataFrame, accounts: DataFrame
+    positions: DataFrame | PositionParts, securities: DataFrame, accounts: DataFrame
 ) -> DataFrame:
     """Star join on the two reference tables; positions missing either one fall out.
 
@@ -41,7 +72,10 @@ def enrich_positions(
         "account_id", "account_name", "account_type", "portfolio_manager", "aum_tier",
         F.col("base_currency").alias("account_base_ccy"),
     )
-    joined = positions.join(security, "security_id").join(account, "account_id")
+    if isinstance(positions, PositionParts):
+        joined = positions.joined(security, account)
+    else:
+        joined = positions.join(security, "security_id").join(account, "account_id")
     derived = {
         "accrued_income": F.coalesce("accrued_income", F.lit(0).cast("decimal(20,2)")),
         "is_cash": flag(F.col("asset_class") == "CASH"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +14,20 @@ from ..functions.values import typed
 SMOKE_TEST_ROWS = 200_000
 
 
-def stage(raw: DataFrame, contract: dict[str, str]) -> DataFrame:
-    """Cast every contracted column; columns outside the contract are dropped."""
-    return raw.select([typed(F.col(name), kind).alias(name) for name, kind in contract.items()])
+def stage(raw: DataFrame, contract: dict[str, str], kept: Sequence[str] = ()) -> DataFrame:
+    """Cast every contracted column; columns outside the contract, but those kept, are dropped."""
+    cast = [typed(F.col(name), kind).alias(name) for name, kind in contract.items()]
+    return raw.select(*cast, *kept)
 
 
-def stage_positions(raw: DataFrame, limit: int | None = None) -> DataFrame:
+def stage_positions(
+    raw: DataFrame, limit: int | None = None, kept: Sequence[str] = ()
+) -> DataFrame:
     """Typed positions with their load time; ``limit`` caps the rows of a smoke run."""
     if limit is not None:
         raw = raw.limit(limit)
-    return stage(raw, schemas.POSITIONS).withColumn("dbt_loaded_at", F.current_timestamp())
+    staged = stage(raw, schemas.POSITIONS, kept)
+    return staged.withColumn("dbt_loaded_at", F.current_timestamp())
 
 
 def stage_securities(raw: DataFrame) -> DataFrame:

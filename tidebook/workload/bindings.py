@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import padded_id
-from ..operators.enrichment import enrich_positions
+from .. import schemas
+from ..functions.values import padded_id, typed
+from ..operators.enrichment import PositionParts, enrich_positions
 from ..operators.staging import stage_accounts, stage_positions, stage_securities
 
+
+def _account() -> Column:
+    return padded_id("ACCT", F.col("o_custkey"), 7)
+
+
+def _security() -> Column:
+    return padded_id("SEC", F.col("l_partkey"), 8)
+
+
+def _day() -> Column:
+    return F.col("o_orderdate").cast("date")
+
+
 def positions_raw(t) -> DataFrame:
     """One position per order line.
 
@@ -17,6 +33,31 @@ def positions_raw(t) -> DataFrame:
     """
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").hint("merge")
     lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _positions_of(lines.withColumns(
+        {"as_of_date": _day(), "account_id": _account(), "security_id": _security()}))
+
+
+def position_parts(t) -> PositionParts:
+    """The same positions as headers, the orders, and lines."""
+    def staged(name: str, raw: Column) -> dict[str, Column]:
+        """The staged id, and what staging cuts off a very long one: the hash has all of it."""
+        kept = typed(raw, schemas.POSITIONS[name])
+        return {name: kept, f"{name}_rest": F.substring(raw, F.length(kept) + 1, F.length(raw))}
+
+    headers = t.orders.withColumns(staged("account_id", _account()) | {"as_of_date": _day()})
+    lines = t.lineitem.withColumns(staged("security_id", _security()))
+    ids = {name: F.concat(name, f"{name}_rest") for name in ("account_id", "security_id")}
+    return PositionParts(
+        headers.select(F.col("o_orderkey").alias("l_orderkey"), "as_of_date", "account_id",
+                       "account_id_rest"),
+        lines, ("l_orderkey",),
+        lambda whole, kept: stage_positions(
+            _positions_of(whole.withColumns(ids), kept), kept=kept),
+    )
+
+
+def _positions_of(lines: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
+    """Positions out of order lines with their day and ids, besides columns to keep."""
     amounts = lines.selectExpr(
         "*",
         "cast(l_extendedprice AS decimal(20,2)) AS market_value",
@@ -28,10 +69,7 @@ def positions_raw(t) -> DataFrame:
         "cast(quantity AS decimal(10,0)) AS units",
     )
     return amounts.select(
-        F.col("o_orderdate").cast("date").alias("as_of_date"),
-        padded_id("ACCT", F.col("o_custkey"), 7).alias("account_id"),
-        padded_id("SEC", F.col("l_partkey"), 8).alias("security_id"),
-        "quantity", "market_value", "cost_basis",
+        "as_of_date", "account_id", "security_id", *kept, "quantity", "market_value", "cost_basis",
         F.expr("cast(market_value - cost_basis AS decimal(20,2)) AS unrealized_gl"),
         F.expr("cast(cost_basis / units AS decimal(18,6)) AS unit_cost"),
         F.expr("cast(market_value / units AS decimal(18,6)) AS unit_price"),
@@ -107,7 +145,7 @@ def staged_accounts(t) -> DataFrame:
 
 
 def enriched_positions(t) -> DataFrame:
-    return enrich_positions(staged_positions(t), staged_securities(t), staged_accounts(t))
+    return enrich_positions(position_parts(t), staged_securities(t), staged_accounts(t))
 
 
 def run_stats(t) -> DataFrame:
