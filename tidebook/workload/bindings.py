@@ -45,17 +45,48 @@ def position_parts(t) -> PositionParts:
         return {name: kept, f"{name}_rest": F.substring(raw, F.length(kept) + 1, F.length(raw))}
 
     headers = t.orders.withColumns(staged("account_id", _account()) | {"as_of_date": _day()})
-    lines = t.lineitem.withColumns(staged("security_id", _security()))
+    lines = _packed(t.lineitem.withColumns(staged("security_id", _security())))
     ids = {name: F.concat(name, f"{name}_rest") for name in ("account_id", "security_id")}
     return PositionParts(
         headers.select(F.col("o_orderkey").alias("l_orderkey"), "as_of_date", "account_id",
                        "account_id_rest"),
         lines, ("l_orderkey",),
         lambda whole, kept: stage_positions(
-            _positions_of(whole.withColumns(ids), kept), kept=kept),
+            _positions_of(_unpacked(whole).withColumns(ids), kept), kept=kept),
     )
 
 
+#: How many parts of one a line's numbers are counted in, and the bits of that count in one packed
+#: number. A line with a number that is missing, negative, wider or finer keeps all of them as
+#: they are.
+PACKED = {"l_extendedprice": (100, 31), "l_quantity": (100, 14), "l_discount": (100, 7),
+          "l_tax": (100, 7), "l_linenumber": (1, 4)}
+
+
+def _packed(lines: DataFrame) -> DataFrame:
+    """Lines with their numbers in one: shuffles take that much less disk."""
+    fits, whole = F.lit(True), F.lit(0).cast("bigint")
+    for name, (scale, bits) in PACKED.items():
+        number = F.col(name)
+        # Guarded: a cast of what is no number, or too large, is an error.
+        count = F.when((number >= 0) & (number < (2**bits - 1) / scale),
+                       F.round(number * scale).cast("bigint"))
+        fits = fits & F.coalesce(count / scale == number, F.lit(False))
+        whole = F.shiftleft(whole, bits).bitwiseOR(count)
+    return lines.withColumn("packed", F.when(fits, whole)).withColumns(
+        {name: F.when(F.col("packed").isNull(), F.col(name)) for name in PACKED})
+
+
+def _unpacked(lines: DataFrame) -> DataFrame:
+    """The numbers as they were: a division rounds to the number that was written."""
+    numbers, rest = {}, F.col("packed")
+    for name, (scale, bits) in reversed(PACKED.items()):
+        number = (rest.bitwiseAND(2**bits - 1) / scale).cast(lines.schema[name].dataType)
+        numbers[name] = F.coalesce(number, F.col(name))
+        rest = F.shiftright(rest, bits)
+    return lines.withColumns(numbers).drop("packed")
+
+
 def _positions_of(lines: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
     """Positions out of order lines with their day and ids, besides columns to keep."""
     amounts = lines.selectExpr(
