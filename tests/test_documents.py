@@ -395,3 +395,22 @@ def test_dependencies_across_chunks_and_repeated_paths(spark, monkeypatch, rows)
     unresolved = collections.resolve_uses(steps).where("to_endpoint is null")
     assert rows(unresolved, "path", "step_order", "variable") == [("q", 1, "a")]
     assert steps.where("path = 'q'").count() == 2
+
+
+@pytest.mark.parametrize("numbered", [True, False])
+def test_steps_without_a_place_or_flow(spark, rows, numbered):
+    """Setters of no chunk come before all chunks; a step without a number has no part at all."""
+    from pyspark.sql import functions as F
+
+    steps = spark.createDataFrame([
+        ("f", None, "url", "GET url", "a"), ("f", 3, "{{a}}", "GET {{a}}", None),
+        ("f", None, "{{a}}", "GET lost", None), (None, 1, "url", "GET other", "a"),
+        (None, 2, "{{a}}", "GET none", None),
+    ], "path string, step_order int, address string, endpoint_key string, saved_variable string")
+    if numbered:
+        found = collections.resolve_uses(steps)
+        assert rows(found, "from_endpoint", "to_endpoint") == [("GET {{a}}", None)]
+        return
+    placed = steps.withColumn("at", F.struct("step_order", "endpoint_key"))
+    found = collections.resolve_uses(placed, order="at", chunk=F.col("at.step_order"))
+    assert rows(found, "from_endpoint", "to_endpoint") == [("GET {{a}}", "GET url")]

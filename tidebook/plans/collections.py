@@ -198,7 +198,9 @@ def resolve_uses(
     """
     numbered = chunk is None
     if numbered:
-        chunk = F.floor(F.greatest(F.col(order), F.lit(0)) / STEP_CHUNK)
+        # Steps without a number neither use nor set.
+        chunk = F.when(F.col(order).isNotNull(),
+                       F.floor(F.greatest(F.col(order), F.lit(0)) / STEP_CHUNK))
     # Steps are made once and dealt out once, for the lookup inside the chunks and for the chunks'
     # summaries. Both take all their columns, and no filter of one can go below the shuffle:
     # otherwise each would have rows of its own, and every document be read for each.
@@ -206,11 +208,12 @@ def resolve_uses(
     told = once(steps.select(flow, order, chunk.alias("_part"), "address", "endpoint_key",
                              "saved_variable"),
                 F.concat(F.array("saved_variable"), uses), "names")
-    named = (F.size("names") > 1) | F.col("names")[0].isNotNull()
-    placed = told.where(named & F.col(flow).isNotNull() & F.col("_part").isNotNull()).select(
+    named = ((F.size("names") > 1) | F.col("names")[0].isNotNull()) & F.col(flow).isNotNull()
+    placed = told.where(named & F.col("_part").isNotNull() if numbered else named).select(
         flow, order, "_part", "endpoint_key", "names").repartition(flow, "_part")
     events = placed.select(flow, order, "_part", "endpoint_key",
-                           F.posexplode("names").alias("_at", "variable"))
+                           F.posexplode("names").alias("_at", "variable")).where(
+        F.col("variable").isNotNull())
     # The place in the list is never negative, which only says that the condition needs it.
     opening = F.greatest("_part", F.least("_at", F.lit(0))) == 0 if numbered else F.lit(False)
     sets = F.col("_at") == 0
